@@ -39,4 +39,4 @@ def billing_code_type(primary: Column) -> Column:
 def code_signature(codes: Column) -> Column:
     """Every code of the item in one sorted text; never NULL for a non-NULL list."""
     labels = F.transform(codes, lambda c: F.concat(c["type"], F.lit(":"), c["code"]))
-    return F.coalesce(F.array_join(F.array_sort(labels), ","), F.lit(""))
+    return F.coalesce(F.array_join(F.sort_array(labels), ","), F.lit(""))

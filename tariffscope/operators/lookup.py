@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 200_000
+HOT_KEY_ROWS = 1_000_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -30,13 +31,15 @@ def lookup_join(
     nullable: list[str] = (),
     how: str = "inner",
     max_rows: int = MAX_BROADCAST_ROWS,
+    hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """``facts`` with the non-key columns of ``lookup``; ``lookup`` has one row per key.
 
     ``weight`` is the number of fact rows behind each lookup row, and ``lookup`` must be a written
     table because it is read more than once. Up to ``max_rows`` lookup rows are broadcast. Beyond
-    that, keys that hold more than 1/max_rows of all facts are joined by broadcast - there can be
-    no more than max_rows of them - and the other keys, now all small, go through a shuffle join.
+    that, keys with more than ``hot_rows`` facts and more than 1/max_rows of all facts are joined by
+    broadcast - there can be no more than max_rows of them - and the other keys, now all small, go
+    through a shuffle join.
     """
     added = [c for c in lookup.columns if c not in keys and c != weight]
     out = [*[F.col(f"f.{c}") for c in facts.columns], *[F.col(f"d.{c}") for c in added]]
@@ -49,10 +52,11 @@ def lookup_join(
     if n_keys <= max_rows:
         return join(facts, F.broadcast(lookup), how).select(*out)
 
-    hot = lookup.where(F.col(weight) > total / max_rows)
+    bound = max(total / max_rows, hot_rows)
+    hot = lookup.where(F.col(weight) > bound)
     if hot.isEmpty():
         return join(facts, lookup, how).select(*out)
-    rest = lookup.where(F.col(weight) <= total / max_rows)
+    rest = lookup.where(F.col(weight) <= bound)
     from_hot = join(facts, F.broadcast(hot), "inner").select(*out)
     other_facts = join(facts, F.broadcast(hot.select(*keys)), "left_anti")
     return from_hot.unionByName(join(other_facts, rest, how).select(*out))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,31 +26,40 @@ def register(name: str, sql: str | None = None):
 
 
 class Model:
-    """The transform over the derived charges; every part is built on demand."""
+    """The transform over the derived charges; every part is built on demand.
+
+    Parts that read the charges several times start from a written charges table.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.staged = staging.stage_charges(sample_charges.charges(spark, sf_dir))
         self.coded = staging.with_billing_code(self.staged)
-        self.patterns = seeds.payer_patterns(spark)
-        self.services = staging.dim_service(seeds.shoppable_services(spark))
-        self.hospitals = staging.dim_hospital(
-            staging.stage_hospitals(sample_charges.hospitals(spark, sf_dir))
-        )
-        self._payers = None
-
-    @property
-    def payers(self) -> DataFrame:
-        if self._payers is None:
-            self._payers = rates.build_payers(self.staged, self.patterns)
-        return self._payers
 
-    def points(self) -> DataFrame:
-        return materialize(prices.price_points(self.coded), "price_points")
+    @cached_property
+    def patterns(self) -> DataFrame:
+        return seeds.payer_patterns(self.spark)
+
+    @cached_property
+    def services(self) -> DataFrame:
+        return staging.dim_service(seeds.shoppable_services(self.spark))
+
+    @cached_property
+    def hospitals(self) -> DataFrame:
+        return staging.dim_hospital(staging.stage_hospitals(sample_charges.hospitals(self.spark, self.sf_dir)))
+
+    @cached_property
+    def stored(self) -> DataFrame:
+        return staging.stage_charges(materialize(sample_charges.charges(self.spark, self.sf_dir), "charges"))
+
+    @cached_property
+    def payers(self) -> DataFrame:
+        return rates.build_payers(self.stored, self.patterns)
 
     def fact(self, shoppable_only: bool = False) -> DataFrame:
-        listed = rates.build_prices(self.coded)
-        return rates.negotiated_rates(self.coded, self.payers, listed, self.services, shoppable_only)
+        coded = staging.with_billing_code(self.stored)
+        listed = rates.build_prices(coded)
+        return rates.negotiated_rates(coded, self.payers, listed, self.services, shoppable_only)
 
     def rates(self) -> DataFrame:
         return marts.service_rates(self.fact(shoppable_only=True), self.services, self.hospitals, self.payers)
@@ -359,9 +369,16 @@ def _(spark, sf):
     return quality.unmapped_payers(model.fact(), model.payers)
 
 
+def _load() -> None:
+    """The ingest queries register themselves on import; they need ``register`` from here."""
+    from tariffscope.plans import file_queries  # noqa: F401
+
+
 def queries() -> dict[str, Query]:
+    _load()
     return {name: fn for name, (fn, _) in _REGISTRY.items()}
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return {name: sql for name, (_, sql) in _REGISTRY.items() if sql}

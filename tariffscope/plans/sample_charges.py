@@ -7,6 +7,8 @@ the wrong label, retired and unknown payers, percentage and formula rates, missi
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,11 +55,15 @@ def _choose(column: Column, mapping: dict[str, str], default: Column) -> Column:
 
 
 def charges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The long charges table (schema.CHARGES plus hospital_id)."""
+    """The long charges table (schema.CHARGES plus hospital_id).
+
+    Lines are spread by the key of their first join, so a file with few row groups still uses
+    every core and a large one is shuffled no more often than the join needs.
+    """
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-    )
+    ).repartition("l_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
@@ -68,7 +74,9 @@ def charges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
     line, part, nation = F.col("l_linenumber"), F.col("p_partkey"), F.col("c_nationkey")
-    known = F.array(*[F.struct(F.lit(c).alias("code"), F.lit(t).alias("type")) for c, t in item_codes()])
+    known = F.from_json(
+        F.lit(json.dumps([{"code": c, "type": t} for c, t in item_codes()])), schema.CODES.simpleString()
+    )
     code = F.get(known, (part % CODE_SPACE).cast("int"))
     relabelled = F.struct(
         code["code"].alias("code"),

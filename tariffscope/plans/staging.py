@@ -56,10 +56,10 @@ def dim_service(services: DataFrame) -> DataFrame:
 
 def with_billing_code(staged: DataFrame) -> DataFrame:
     """Staged charges plus billing code, its type, the code signature and the row's own rate."""
-    primary = C.primary_code(F.col("codes"))
+    primary = F.col("_primary")
     dollar, percent = F.col("negotiated_dollar"), F.col("negotiated_percentage")
     gross, algorithm = F.col("gross_charge"), F.col("negotiated_algorithm")
-    return staged.withColumns(
+    return staged.withColumn("_primary", C.primary_code(F.col("codes"))).withColumns(
         {
             "billing_code": C.billing_code(primary),
             "billing_code_type": C.billing_code_type(primary),
@@ -67,4 +67,4 @@ def with_billing_code(staged: DataFrame) -> DataFrame:
             "effective_rate": N.effective_rate(dollar, percent, gross),
             "rate_source": N.rate_source(dollar, percent, gross, algorithm),
         }
-    )
+    ).drop("_primary")

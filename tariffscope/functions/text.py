@@ -28,7 +28,7 @@ def contains_ignoring_case(text: Column, part: Column) -> Column:
 
 def pipe_list(text: Column) -> Column:
     """``"a | b|"`` -> [a, b]."""
-    return F.filter(F.transform(F.split(text, r"\|"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, r"\|"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def has_word(text: Column, *words: str) -> Column:

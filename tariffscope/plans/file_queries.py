@@ -12,7 +12,7 @@ from tariffscope.functions.dates import flexible_date
 from tariffscope.operators import quality
 from tariffscope.plans import oracle, sample_charges, sample_files
 from tariffscope.plans.queries import register
-from tariffscope.session import shared_dir
+from tariffscope.session import materialize, shared_dir
 from tariffscope.sources import admission, csv_files, headers, index, json_files, tables
 
 # Codes compare as one text; both sides build it the same way.
@@ -32,18 +32,22 @@ def _plain_codes(charges):
     return charges.withColumn("codes", joined)
 
 
+def _parsed(files, parse):
+    """Parse stored records with stored layouts, as the ingest job does."""
+    heads, records = files
+    return parse(materialize(records, "records"), materialize(headers.layouts(heads), "layouts"))
+
+
 def _tall(spark, sf):
-    heads, records = sample_files.tall_file(spark, sf)
-    return csv_files.records_to_charges(records, headers.layouts(heads))
+    return _parsed(sample_files.tall_file(spark, sf), csv_files.tall_to_charges)
 
 
 def _wide(spark, sf):
-    heads, records = sample_files.wide_file(spark, sf)
-    return csv_files.records_to_charges(records, headers.layouts(heads))
+    return _parsed(sample_files.wide_file(spark, sf), csv_files.wide_to_charges)
 
 
 def _json(spark, sf):
-    texts = sample_files.json_texts(spark, sf)
+    texts = materialize(sample_files.json_texts(spark, sf), "documents")
     docs = texts.select("hospital_id", F.from_json("value", f"struct<{json_files.ITEMS}>").alias("d"))
     return json_files.documents_to_charges(docs.select("hospital_id", "d.*"), "hospital_id")
 

@@ -66,7 +66,7 @@ def main() -> int:
     args = sys.argv[1:]
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     spark, con, failed = local_session(8), connect(sf_dir), 0
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     sqls = oracle_sql()
     for name, build in queries().items():
         if args[1:] and name not in args[1:]:

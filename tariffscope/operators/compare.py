@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tariffscope.operators.marts import COMMERCIAL, percent_contract
-from tariffscope.operators.medians import weighted_medians
+from tariffscope.operators.medians import group_with_medians
+from tariffscope.session import materialize
+from tariffscope.sources.seeds import local_table
 
 # Insurance types in display order, and the marker of invented hospitals.
 PRODUCT_LINES = [
@@ -77,7 +79,8 @@ def contract_types(rates: DataFrame) -> DataFrame:
         .groupBy(*keys, "effective_rate")
         .agg(F.count("*").alias("n"))
     )
-    return weighted_medians(points, keys, ["effective_rate"], "n").withColumnRenamed("effective_rate", "median_rate")
+    stored = materialize(points, "contract_points")
+    return group_with_medians(stored, keys, {"effective_rate": "median_rate"}, "n")
 
 
 def service_list(prices: DataFrame) -> DataFrame:
@@ -92,8 +95,8 @@ def service_list(prices: DataFrame) -> DataFrame:
 
 def product_lines_present(prices: DataFrame) -> DataFrame:
     """Insurance types that occur, in display order."""
-    spark = prices.sparkSession
-    fixed = spark.createDataFrame(list(enumerate(PRODUCT_LINES)), "position int, product_line string")
+    rows = [{"position": i, "product_line": line} for i, line in enumerate(PRODUCT_LINES)]
+    fixed = local_table(prices.sparkSession, rows, ["position", "product_line"])
     return fixed.join(prices.select("product_line").distinct(), "product_line", "left_semi").orderBy("position")
 
 

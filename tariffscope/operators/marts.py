@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tariffscope.functions.numbers import round_half_away
 from tariffscope.operators.lookup import broadcast_if_small, lookup_join
-from tariffscope.operators.medians import same_keys, weighted_medians
+from tariffscope.operators.medians import group_with_medians
 from tariffscope.session import materialize
 
 GRAIN = ["category", "service_name", "billing_code", "hospital_name", "payer_group", "product_line"]
@@ -48,21 +48,22 @@ def rate_points(rates: DataFrame) -> DataFrame:
 
 def service_prices(points: DataFrame) -> DataFrame:
     """The mart without the benchmark. ``points`` is a written table of ``rate_points``."""
-    base = points.groupBy(*GRAIN).agg(
-        F.sum("n").alias("plan_rates"),
-        F.min("effective_rate").alias("min_rate"),
-        F.max("effective_rate").alias("max_rate"),
-        F.max("gross_charge").alias("gross_charge"),
-        F.max("cash_price").alias("cash_price"),
-        F.bool_or("includes_percentage_rates").alias("includes_percentage_rates"),
-    )
-    medians = weighted_medians(points, GRAIN, ["effective_rate", "median_amount"], "n")
-    l, r = base.alias("l"), medians.alias("r")
-    return l.join(r, same_keys(l, r, GRAIN), "left").select(
-        "l.*",
-        round_half_away(F.col("effective_rate"), 2).alias("median_rate"),
-        round_half_away(F.col("median_amount"), 2).alias("median_actually_paid"),
+    grouped = group_with_medians(
+        points,
+        GRAIN,
+        {"effective_rate": "median_rate", "median_amount": "median_actually_paid"},
+        "n",
+        others=(
+            F.sum("n").alias("plan_rates"),
+            F.min("effective_rate").alias("min_rate"),
+            F.max("effective_rate").alias("max_rate"),
+            F.max("gross_charge").alias("gross_charge"),
+            F.max("cash_price").alias("cash_price"),
+            F.bool_or("includes_percentage_rates").alias("includes_percentage_rates"),
+        ),
     )
+    rounded = {c: round_half_away(F.col(c), 2) for c in ("median_rate", "median_actually_paid")}
+    return grouped.withColumns(rounded)
 
 
 def with_benchmark(prices: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SLOTS_PER_DECADE = 128
+MAX_BUFFERED_VALUES = 500_000
 
 
 def _slot(value: Column) -> Column:
@@ -64,3 +65,29 @@ def weighted_medians(points: DataFrame, keys: list[str], values: list[str], weig
     return ranked.groupBy(*keys).agg(
         *[(at("_lo", i) * 0.5 + at("_hi", i) * 0.5).alias(v) for i, v in enumerate(values)]
     )
+
+
+def group_with_medians(
+    points: DataFrame,
+    keys: list[str],
+    medians: dict[str, str],
+    weight: str,
+    others: tuple[Column, ...] = (),
+    max_values: int = MAX_BUFFERED_VALUES,
+) -> DataFrame:
+    """Group ``points`` with exact medians (value column -> result name) and ``others`` aggregates.
+
+    ``points`` is a written table with a row per distinct value and its ``weight``. While no group has
+    more than ``max_values`` points, the built-in percentile may buffer a group and one shuffle does
+    it all; else the medians go through ``weighted_medians``.
+    """
+    widest = points.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if widest <= max_values:
+        exact = [F.percentile(F.col(v), 0.5, F.col(weight)).alias(name) for v, name in medians.items()]
+        return points.groupBy(*keys).agg(*others, *exact)
+    spread = weighted_medians(points, keys, list(medians), weight)
+    spread = spread.select(*keys, *[F.col(v).alias(f"_{name}") for v, name in medians.items()])
+    base = points.groupBy(*keys).agg(F.count("*").alias("_points"), *others)
+    l, r = base.alias("l"), spread.alias("r")
+    found = l.join(r, same_keys(l, r, keys), "left")
+    return found.select("l.*", *[F.col(f"_{name}").alias(name) for name in medians.values()]).drop("_points")

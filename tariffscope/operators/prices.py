@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tariffscope.operators.lookup import lookup_join
-from tariffscope.operators.medians import weighted_medians
+from tariffscope.operators.medians import group_with_medians
 from tariffscope.session import materialize
 
 ITEM = ["hospital_id", "description", "code_signature", "modifiers"]
@@ -38,16 +38,25 @@ def item_prices_any_setting(points: DataFrame) -> DataFrame:
 
 
 def code_prices(points: DataFrame) -> DataFrame:
-    """Median list and cash price per billing code, over rows that carry a list price."""
+    """Median list and cash price per billing code, over rows that carry a list price, and the
+    number of such points. ``points`` is a written table."""
     priced = points.where("billing_code is not null and gross_charge is not null")
-    return weighted_medians(priced, CODE, PRICES, "n_rows")
+    return group_with_medians(
+        priced, CODE, {p: p for p in PRICES}, "n_rows", others=(F.count("*").alias("n_points"),)
+    )
+
+
+def item_key() -> Column:
+    """One short join key for an item in a setting under a billing code; NULL parts count as values."""
+    parts = [F.coalesce(c, F.lit("\u0000")) for c in ITEM_CODE]
+    return F.md5(F.concat_ws("\u0001", *parts))
 
 
 def resolved_prices(points: DataFrame) -> DataFrame:
-    """The list price each item ends up with, one row per item, setting and billing code.
+    """The list price each item ends up with: item_key, prices, level, and the rows behind it.
 
-    ``points`` must be a written table. Levels are resolved here, on the item table, so that the
-    much larger fact needs a single join.
+    ``points`` is a written table. Levels are resolved here, on the item table, so that the much
+    larger fact needs a single join on a short key.
     """
     per_item = points.groupBy(*ITEM_CODE).agg(
         *[F.max(p).alias(p) for p in PRICES], F.sum("n_rows").alias("n_rows")
@@ -57,15 +66,12 @@ def resolved_prices(points: DataFrame) -> DataFrame:
     any_setting, same = Window.partitionBy(*ITEM), Window.partitionBy(*ITEM_SETTING)
     levels = per_item.withColumns({f"any_{p}": F.max(p).over(any_setting) for p in PRICES})
     levels = levels.withColumns({f"same_{p}": F.max(p).over(same) for p in PRICES}).drop(*PRICES)
-    coded = code_prices(points).select(*CODE, *[F.col(p).alias(f"code_{p}") for p in PRICES])
-    sizes = points.where("billing_code is not null").groupBy(*CODE).agg(F.count("*").alias("n_items"))
-    l, r = coded.alias("l"), sizes.alias("r")
-    weighted = l.join(r, [F.col(f"l.{k}") == F.col(f"r.{k}") for k in CODE]).select("l.*", "n_items")
-    found = lookup_join(levels, materialize(weighted, "code_prices"), CODE, "n_items", how="left")
+    by_code = code_prices(points).withColumnsRenamed({p: f"code_{p}" for p in PRICES})
+    found = lookup_join(levels, materialize(by_code, "code_prices"), CODE, "n_points", how="left")
     gross = F.coalesce("same_gross_charge", "any_gross_charge", "code_gross_charge")
     cash = F.coalesce("same_discounted_cash", "any_discounted_cash", "code_discounted_cash")
     return found.select(
-        *ITEM_CODE,
+        item_key().alias("item_key"),
         "n_rows",
         gross.alias("gross_charge"),
         cash.alias("discounted_cash"),

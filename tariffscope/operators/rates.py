@@ -52,9 +52,7 @@ def negotiated_rates(
 
     dim = payers.select("payer_key", "payer_name", "plan_name", "n_rows")
     rows = lookup_join(rows, dim, ["payer_name", "plan_name"], "n_rows", nullable=["plan_name"])
-    rows = lookup_join(
-        rows, prices, R.ITEM_CODE, "n_rows", nullable=["modifiers", "setting", "billing_code", "billing_code_type"]
-    )
+    rows = lookup_join(rows.withColumn("item_key", R.item_key()), prices, ["item_key"], "n_rows")
 
     dollar, percent, gross = F.col("negotiated_dollar"), F.col("negotiated_percentage"), F.col("gross_charge")
     return rows.withColumns(

@@ -149,7 +149,8 @@ def _(spark, sf):
 
 @register("code_list_price", oracle.whole("code_prices"))
 def _(spark, sf):
-    return prices.code_prices(prices.price_points(Model(spark, sf).coded))
+    points = materialize(prices.price_points(Model(spark, sf).coded), "price_points")
+    return prices.code_prices(points).drop("n_points")
 
 
 @register("fact_rates", oracle.whole("fact"))

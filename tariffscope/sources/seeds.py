@@ -128,12 +128,24 @@ def service_rows() -> list[dict]:
     return _rows(SHOPPABLE_SERVICES_CSV)
 
 
+def _literal(value) -> str:
+    if value is None:
+        return "CAST(NULL AS STRING)"
+    return str(value) if isinstance(value, int) else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def local_table(spark: SparkSession, rows: list[dict], columns: list[str]) -> DataFrame:
+    """A small constant table inside the plan: no job, no Python rows."""
+    values = ", ".join("(" + ", ".join(_literal(row[c]) for c in columns) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns)})")
+
+
 def payer_patterns(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(pattern_rows(), schema.PAYER_PATTERNS)
+    return local_table(spark, pattern_rows(), schema.PAYER_PATTERNS.names)
 
 
 def shoppable_services(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(service_rows(), schema.SERVICES)
+    return local_table(spark, service_rows(), schema.SERVICES.names)
 
 
 def read_patterns(spark: SparkSession, path: str) -> DataFrame:

@@ -18,7 +18,7 @@ def blank_to_null(text: Column) -> Column:
 
 def money(text: Column) -> Column:
     """``"$1,200.50"`` -> 1200.5; anything that is not a plain number -> NULL."""
-    bare = F.trim(F.regexp_replace(F.trim(text), r"[$,]", ""))
+    bare = F.trim(F.translate(text, "$,", ""))
     return F.when(bare.rlike(_NUMBER), bare.try_cast("double"))
 
 

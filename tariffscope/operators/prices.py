@@ -39,11 +39,13 @@ def item_prices_any_setting(points: DataFrame) -> DataFrame:
 
 def code_prices(points: DataFrame) -> DataFrame:
     """Median list and cash price per billing code, over rows that carry a list price, and the
-    number of such points. ``points`` is a written table."""
-    priced = points.where("billing_code is not null and gross_charge is not null")
-    return group_with_medians(
-        priced, CODE, {p: p for p in PRICES}, "n_rows", others=(F.count("*").alias("n_points"),)
+    number of price points under the code. ``points`` is a written table."""
+    has_list = F.when(F.col("gross_charge").isNotNull(), F.col("discounted_cash"))
+    coded = points.where("billing_code is not null").withColumn("discounted_cash", has_list)
+    grouped = group_with_medians(
+        coded, CODE, {p: p for p in PRICES}, "n_rows", others=(F.count("*").alias("n_points"),)
     )
+    return grouped.where("gross_charge is not null")
 
 
 def item_key() -> Column:

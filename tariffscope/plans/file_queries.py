@@ -201,9 +201,65 @@ def _(spark, sf):
     )
 
 
+@register(
+    "repair_counters",
+    rf"""SELECT lang AS path, count_if(regexp_matches(line, '{_RE2_STRAY}')) AS repaired_quote_lines,
+    0 AS non_utf8_lines, count_if((length(line) - length(replace(line, '"', ''))) % 2 = 1) AS odd_quote_lines
+    FROM (SELECT lang, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY lang""",
+)
+def _(spark, sf):
+    """Repair counters per file, a language taken as one file."""
+    docs = sample_charges.table(spark, sf, "documents")
+    lines = docs.select(F.col("lang").alias("path"), F.explode(F.split("text", "\n")).alias("value"))
+    return csv_files.line_stats(csv_files.repair(lines))
+
+
+@register(
+    "broken_records",
+    """SELECT lang AS path, doc_id, 'd' || doc_id || ',"' || replace(text, '"', '""') || '",end' AS value FROM documents""",
+)
+def _(spark, sf):
+    """Whole texts as quoted fields over many lines, a language taken as one file in blocks of documents."""
+    docs = sample_charges.table(spark, sf, "documents").select("doc_id", "lang", "text")
+    field = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    record = F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(","), field, F.lit(",end"))
+    lines = docs.select(
+        F.col("lang").alias("path"),
+        F.floor(F.col("doc_id") / 16).alias("block"),
+        "doc_id",
+        F.posexplode(F.split(record, "\n")).alias("pos", "value"),
+    ).withColumn("place", F.col("doc_id") * 1_000_000 + F.col("pos"))
+    # Every other block border falls inside a document, so records are cut there.
+    moved = lines.withColumn("block", F.when(F.col("doc_id") % 16 == 15, F.col("block") + (F.col("pos") > 0).cast("int"))
+                             .otherwise(F.col("block")))
+    records = csv_files.join_broken_records(moved)
+    doc_id = F.substring(F.get(F.split("value", ",", 2), F.lit(0)), F.lit(2), F.lit(20)).cast("long")
+    return records.withColumn("doc_id", doc_id)
+
+
 # ---- metadata, index, admission ----------------------------------------------------------------
 
 
+@register(
+    "header_layout",
+    """SELECT 'h' || n_nationkey || '/' || f AS path, 'csv_' || replace(f, '.csv', '') AS source_format, n_cells, n_codes,
+    n_groups, description_at, first_dollar_at FROM nation, (VALUES ('tall.csv', 25, 2, 0, 4, 16), ('wide.csv', 64, 2, 5, 4, 14))
+    v(f, n_cells, n_codes, n_groups, description_at, first_dollar_at)""",
+)
+def _(spark, sf):
+    """Column positions found in the padded, upper-case and wide header rows."""
+    heads = sample_files.tall_file(spark, sf)[0].unionByName(sample_files.wide_file(spark, sf)[0])
+    return headers.layouts(heads).select(
+        "path",
+        "source_format",
+        "n_cells",
+        F.size("codes").alias("n_codes"),
+        F.size("groups").alias("n_groups"),
+        F.col("base.description").alias("description_at"),
+        F.coalesce("payer.negotiated_dollar", F.get("groups", F.lit(0))["negotiated_dollar"]).alias("first_dollar_at"),
+    )
+
+
 @register(
     "header_metadata",
     """SELECT 'h' || n_nationkey AS hospital_id, n_name || ' Hospital' AS hospital_name,

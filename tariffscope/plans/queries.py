@@ -28,7 +28,7 @@ def register(name: str, sql: str | None = None):
 class Model:
     """The transform over the derived charges; every part is built on demand.
 
-    Parts that read the charges several times start from a written charges table.
+    Parts that read the charges several times start from a written table.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -50,7 +50,7 @@ class Model:
 
     @cached_property
     def stored(self) -> DataFrame:
-        return staging.stage_charges(materialize(sample_charges.charges(self.spark, self.sf_dir), "charges"))
+        return materialize(self.staged, "staged_charges")
 
     @cached_property
     def payers(self) -> DataFrame:

@@ -95,6 +95,24 @@ def _(spark, sf):
     return _plain_codes(_json(spark, sf)).select("description", "setting", "notes", *_LONG_COLUMNS)
 
 
+@register(
+    "json_split_items",
+    oracle.sql(
+        f"""SELECT description, setting, notes, {_LONG} FROM (
+        SELECT * REPLACE ({_NO_PAYER}) FROM charges UNION ALL
+        SELECT * REPLACE (trim(payer_name) AS payer_name, trim(plan_name) AS plan_name)
+        FROM charges WHERE payer_name IS NOT NULL)""",
+        "charges",
+    ),
+)
+def _(spark, sf):
+    """One big document per hospital, cut at braces in blocks, as a large file is read."""
+    chunks = sample_files.json_chunks(materialize(sample_files.json_texts(spark, sf), "documents"))
+    items, _ = json_files.split_documents(chunks)
+    charges = json_files.items_to_charges(items, "path").withColumnRenamed("path", "hospital_id")
+    return _plain_codes(charges).select("description", "setting", "notes", *_LONG_COLUMNS)
+
+
 @register(
     "layout_parity",
     oracle.sql("SELECT hospital_id, 0 AS only_in_tall, 0 AS only_in_json FROM charges GROUP BY hospital_id", "charges"),

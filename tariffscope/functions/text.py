@@ -18,7 +18,7 @@ def blank_to_null(text: Column) -> Column:
 
 def money(text: Column) -> Column:
     """``"$1,200.50"`` -> 1200.5; anything that is not a plain number -> NULL."""
-    bare = F.trim(F.translate(text, "$,", ""))
+    bare = F.trim(F.replace(F.replace(text, F.lit("$"), F.lit("")), F.lit(","), F.lit("")))
     return F.when(bare.rlike(_NUMBER), bare.try_cast("double"))
 
 
@@ -54,9 +54,9 @@ def repair_encoding(line: Column) -> Column:
 
 
 def has_stray_quote(line: Column) -> Column:
-    return line.rlike(STRAY_QUOTE)
+    return F.contains(line, F.lit('"')) & line.rlike(STRAY_QUOTE)
 
 
 def repair_quotes(line: Column) -> Column:
     """Double every stray quote so the value survives parsing."""
-    return F.regexp_replace(line, STRAY_QUOTE, '""')
+    return F.when(F.contains(line, F.lit('"')), F.regexp_replace(line, STRAY_QUOTE, '""')).otherwise(line)

@@ -115,7 +115,7 @@ def _(spark, sf):
 
 @register(
     "layout_parity",
-    oracle.sql("SELECT hospital_id, 0 AS only_in_tall, 0 AS only_in_json FROM charges GROUP BY hospital_id", "charges"),
+    oracle.sql("SELECT hospital_id, CAST(0 AS BIGINT) AS only_in_tall, CAST(0 AS BIGINT) AS only_in_json FROM charges GROUP BY hospital_id", "charges"),
 )
 def _(spark, sf):
     """Rows of payer rates per hospital that one layout gives and the other does not."""
@@ -221,8 +221,9 @@ def _(spark, sf):
 
 @register(
     "repair_counters",
-    rf"""SELECT lang AS path, count_if(regexp_matches(line, '{_RE2_STRAY}')) AS repaired_quote_lines,
-    0 AS non_utf8_lines, count_if((length(line) - length(replace(line, '"', ''))) % 2 = 1) AS odd_quote_lines
+    rf"""SELECT lang AS path, CAST(count_if(regexp_matches(line, '{_RE2_STRAY}')) AS BIGINT) AS repaired_quote_lines,
+    CAST(0 AS BIGINT) AS non_utf8_lines,
+    CAST(count_if((length(line) - length(replace(line, '"', ''))) % 2 = 1) AS BIGINT) AS odd_quote_lines
     FROM (SELECT lang, unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY lang""",
 )
 def _(spark, sf):

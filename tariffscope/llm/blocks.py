@@ -84,12 +84,14 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     pairs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     size = pairs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     name = f"blocks_{uuid.uuid4().hex}"
+    # no fewer buckets than shuffle partitions, or a join would rather move the blocks
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     (
         pairs.mapInArrow(_pack, PACKED)
         .write.format("parquet")
         .option("compression", "none")
         .option("path", f"{shared_dir(spark)}/{name}")
-        .bucketBy(max(2, -(-size // BUCKET_BYTES)), "block")
+        .bucketBy(buckets, "block")
         .sortBy("block")
         .saveAsTable(name)
     )

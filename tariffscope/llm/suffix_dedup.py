@@ -91,7 +91,7 @@ class _Anchors:
             least = _sliding_min((names & ~_PLACE) | np.arange(len(names), dtype=U), shape.left + 1)
             chosen = np.unique((least[whole[at : at + starts]] & _PLACE).astype(np.int64))
             places.append(chosen + at)
-            keys.append(names[chosen])
+            keys.append(mix(names[chosen] + U(1)))  # anchors have small names; their keys must spread
         places = np.concatenate(places) if places else np.zeros(0, np.int64)
         self.at, first = np.unique(places, return_index=True)
         self.keys = np.concatenate(keys)[first] if keys else np.zeros(0, U)

@@ -13,7 +13,8 @@ least cost: signatures sent, plus pairs expected from segments too small to tell
 
 1. Equal sets become one node (a shuffle of set keys).
 2. Signatures of which no other node has one are dropped (a shuffle of 32 bits per signature).
-3. Every node is compared with one centre node per shared signature: linear in the signatures, and enough
+   A node stays only with as many shared segments as a link must have (the spare ones and one more).
+3. Nodes are compared with one centre node per shared signature: linear in the signatures, and enough
    to tie big groups of near copies together.
 4. Signatures whose nodes are still in several components give the pairs between components. Dear ones
    are paid for from the spare segments; a node that has more of them than it can spare keeps the
@@ -87,12 +88,13 @@ class Scheme:
         budget = 2 * high // 9  # elements in which a pair of this band can differ, at most
         choices = []
         for differ in (1, 2):
-            for spare in sorted({0, 1, 2, 3, *(1 + budget * i // 40 for i in range(1, 8))}):
+            for spare in sorted({budget // 4 + i for i in range(4)}):
                 for partitions in (1, 2, 3, 4):
                     m = -(-(budget + 1) // differ) + spare
                     choices.append((self._cost(low, nodes, m, differ, spare, partitions), m, differ, spare, partitions))
         _, self.segments, self.differ, self.spare, self.partitions = min(choices)
         self.active = budget > 0
+        self.need = self.spare + 1  # segments in which a linked pair agrees, at least
 
     @staticmethod
     def _cost(size: int, nodes: int, m: int, differ: int, spare: int, partitions: int) -> float:
@@ -219,6 +221,8 @@ def _links(packed: DataFrame, nodes: DataFrame, size: int, shingle: int) -> Data
     speakers = nodes.groupBy("block").agg(F.collect_list(F.struct("at", "node")).alias("speakers"))
     armed = packed.join(speakers, "block")
 
+    needs = np.array([s.need for s in schemes], np.int64)
+
     def signed(block: B.Block, who: list) -> tuple:
         sets = Sets(block, shingle)
         docs = np.array(sorted(w["at"] for w in who), np.int64)
@@ -243,6 +247,7 @@ def _links(packed: DataFrame, nodes: DataFrame, size: int, shingle: int) -> Data
         for block, who in _with_column(batches, "speakers"):
             sets, (sig, doc, tag, segment, deleted) = signed(block, who)
             keep = np.flatnonzero(B.Keys.of(sig, bits).shared(block.answers))
+            keep = keep[_enough(doc[keep], tag[keep], segment[keep], needs)]
             names = np.empty(len(block.texts), object)
             for w in who:
                 names[w["at"]] = w["node"]
@@ -252,37 +257,53 @@ def _links(packed: DataFrame, nodes: DataFrame, size: int, shingle: int) -> Data
             )
 
     signed_rows = materialize(B.with_answers(packed, replies).join(speakers, "block").mapInArrow(shared, SIGNED), "signed")
-    sig_of = signed_rows.select("sig", "node", "n", "deleted")
+    need = F.create_map(*[F.lit(v) for s in schemes for v in (s.number, s.need)])[F.floor(F.col("tag") / 8).cast("int")]
+    sig_of = signed_rows.select("sig", "node", "n", "tag", "segment")
     fits = (F.least("xn", "yn") * 5 >= F.greatest("xn", "yn") * 4) & (F.col("x") != F.col("y"))
 
     def stars(rows: DataFrame, order) -> DataFrame:
         centre = rows.groupBy("sig").agg(F.min_by(F.struct("node", "n"), order).alias("c"))
-        pairs = rows.join(centre, "sig").select(F.col("c.node").alias("x"), F.col("c.n").alias("xn"), F.col("node").alias("y"), F.col("n").alias("yn"))
-        return _ordered(pairs.where(fits))
+        pairs = rows.join(centre, "sig").select(F.col("c.node").alias("x"), F.col("c.n").alias("xn"), F.col("node").alias("y"), F.col("n").alias("yn"), "tag", "segment")
+        # a first guess at links: those with a third of the agreement that a link has
+        some = pairs.where(fits).groupBy("x", "y", "tag").agg(F.count_distinct("segment").alias("c")).where(F.col("c") * 3 >= need)
+        return _ordered(some)
 
     first = stars(sig_of, F.xxhash64("node"))
     done = materialize(_verified(packed, nodes, first, shingle), "links")
-    for _ in range(1):
-        roots = materialize(components(done.where("linked").select(F.col("x").alias("a"), F.col("y").alias("b"))), "roots")
-        named = sig_of.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        # signatures that still touch several components, and a second centre for each: of another order
-        per_root = named.groupBy("sig", "root").agg(F.count("*").alias("k"))
-        spread = per_root.groupBy("sig").agg(F.sum("k").alias("total"), F.max("k").alias("most"), F.count("*").alias("roots")).where("roots > 1")
-        spread = materialize(spread.select("sig", "total", (F.col("total") - F.col("most")).alias("rest")), "spread")
-        open_rows = named.join(spread, "sig")
-        second = stars(open_rows, F.xxhash64("node", F.lit(1))).join(done.select("x", "y"), ["x", "y"], "left_anti")
-        done = materialize(done.union(_verified(packed, nodes, second, shingle)), "links")
     roots = materialize(components(done.where("linked").select(F.col("x").alias("a"), F.col("y").alias("b"))), "roots")
-    rest = _between(signed_rows, spread, roots, schemes).join(done.select("x", "y"), ["x", "y"], "left_anti")
+    named = sig_of.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # signatures that still touch several components, and another centre for each
+    per_root = named.groupBy("sig", "root").agg(F.count("*").alias("k"))
+    spread = per_root.groupBy("sig").agg(F.sum("k").alias("total"), F.max("k").alias("most"), F.count("*").alias("roots")).where("roots > 1")
+    spread = materialize(spread.select("sig", "total", (F.col("total") - F.col("most")).alias("rest")), "spread")
+    second = stars(named.join(spread, "sig"), F.xxhash64("node", F.lit(1))).join(done.select("x", "y"), ["x", "y"], "left_anti")
+    done = materialize(done.union(_verified(packed, nodes, second, shingle)), "links")
+    roots = materialize(components(done.where("linked").select(F.col("x").alias("a"), F.col("y").alias("b"))), "roots")
+    rest = _between(signed_rows, spread, roots, schemes, need).join(done.select("x", "y"), ["x", "y"], "left_anti")
     done = materialize(done.union(_verified(packed, nodes, rest, shingle)), "links")
     return done.where("linked").select("x", "y")
 
 
+def _enough(doc: np.ndarray, tag: np.ndarray, segment: np.ndarray, needs: np.ndarray) -> np.ndarray:
+    """Rows of documents with as many shared segments in a partition as a linked pair must agree on."""
+    if not len(doc):
+        return np.zeros(0, bool)
+    order = np.lexsort((segment, tag, doc))
+    doc, tag, segment = doc[order], tag[order], segment[order]
+    new = np.concatenate([[True], (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])])
+    fresh = new | np.concatenate([[True], segment[1:] != segment[:-1]])
+    group = np.cumsum(new) - 1
+    enough = np.bincount(group, fresh) >= needs[tag[new] // 8]
+    out = np.empty(len(order), bool)
+    out[order] = enough[group]
+    return out
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
-def _between(signed: DataFrame, spread: DataFrame, roots: DataFrame, schemes: list[Scheme]) -> DataFrame:
+def _between(signed: DataFrame, spread: DataFrame, roots: DataFrame, schemes: list[Scheme], need) -> DataFrame:
     """All pairs of different components that share a signature which neither side could spare."""
     spares = F.create_map(*[F.lit(v) for s in schemes for v in (s.number, s.spare)])
     rows = signed.join(spread, "sig").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -299,11 +320,15 @@ def _between(signed: DataFrame, spread: DataFrame, roots: DataFrame, schemes: li
     failed = failed.where(F.col("c") >= partitions[F.col("scheme")]).select("node", "scheme")
     kept = unpaid.withColumn("scheme", scheme).join(failed, ["node", "scheme"]).select("node", "tag", "segment", F.lit(True).alias("needs"))
     rows = rows.join(kept, ["node", "tag", "segment"], "left").withColumn("needs", F.coalesce("needs", F.lit(False)))
-    rows = materialize(rows.select("sig", "node", "n", "root", "dear", "needs", "deleted"), "open")
-    x = rows.select("sig", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"), F.col("deleted").alias("xd"), "dear", "needs").where("needs or not dear")
+    # agreement in dear segments is not seen, so that much less of it is asked for
+    unseen = segments.groupBy("node", "tag").agg(F.count("*").alias("unseen"))
+    rows = rows.join(unseen, ["node", "tag"], "left").withColumn("least", F.greatest(F.lit(1), need - F.coalesce("unseen", F.lit(0))))
+    rows = materialize(rows.select("sig", "node", "n", "tag", "segment", "root", "dear", "needs", "deleted", "least"), "open")
+    x = rows.select("sig", "tag", "segment", "least", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"), F.col("deleted").alias("xd"), "dear", "needs").where("needs or not dear")
     y = rows.select("sig", F.col("node").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"), F.col("deleted").alias("yd"))
     pairs = x.join(y, "sig").where((F.col("xr") != F.col("yr")) & ~(F.col("xd") & F.col("yd")) & (F.least("xn", "yn") * 5 >= F.greatest("xn", "yn") * 4))
-    return _ordered(pairs.where(F.col("dear") | (F.col("x") < F.col("y"))))
+    agreed = pairs.groupBy("x", "y", "tag").agg(F.count_distinct("segment").alias("c"), F.max("dear").alias("dear"), F.max("least").alias("least"))
+    return _ordered(agreed.where(F.col("dear") | (F.col("c") >= F.col("least"))))
 
 
 def _verified(packed: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:

@@ -61,7 +61,7 @@ def _packed(number: int, ids: list, texts: list) -> pa.RecordBatch:
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number = TaskContext.get().partitionId() << 32
+    number = TaskContext.get().partitionId() << 20
     ids: list = []
     texts: list = []
     size = 0

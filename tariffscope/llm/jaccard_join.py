@@ -41,7 +41,7 @@ from tariffscope.session import materialize
 U = np.uint64
 SHINGLE = 5
 #: A signature is dear when it would give more pairs than the square of this.
-DEAR = 64
+DEAR = 16
 
 LOWER = bytes(range(256)).translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"))
 
@@ -146,9 +146,9 @@ def signatures(sets: Sets, docs: np.ndarray, schemes: list[Scheme]) -> tuple[np.
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-NODE_SETS = "node binary, items array<bigint>"
-SET_ROWS = "doc_id bigint, block bigint, at int, n bigint, node binary"
-SIGNED = "sig bigint, node binary, n int, tag int, segment int, deleted boolean"
+NODE_SETS = "node bigint, items array<bigint>"
+SET_ROWS = "doc_id bigint, block bigint, at int, n bigint, set_key binary"
+SIGNED = "sig bigint, node bigint, n int, tag int, segment int, deleted boolean"
 
 
 def _with_column(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[B.Block, list]]:
@@ -179,12 +179,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             n = len(block.texts)
             yield pa.RecordBatch.from_arrays(
                 [block.id_column(), pa.array([block.number] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(sets.sizes, pa.int64()), pa.array(sets.keys(), pa.binary())],
-                ["doc_id", "block", "at", "n", "node"],
+                ["doc_id", "block", "at", "n", "set_key"],
             )
 
     rows = materialize(packed.mapInArrow(set_rows, SET_ROWS), "sets")
     nodes = materialize(
-        rows.where("n > 0").groupBy("node", "n").agg(F.min(F.struct("block", "at")).alias("p"), F.min("doc_id").alias("first_id"), F.count("*").alias("copies")).select("node", "n", "p.block", "p.at", "first_id", "copies"),
+        rows.where("n > 0").groupBy("set_key", "n").agg(F.min(F.struct("block", "at")).alias("p"), F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
+        .select("set_key", (F.shiftleft("p.block", 17) + F.col("p.at")).alias("node"), "n", "p.block", "p.at", "first_id", "copies"),
         "nodes",
     )
     links = _links(packed, nodes, size, shingle)
@@ -192,9 +193,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     degree = links.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     known = nodes.join(roots, "node", "left").join(degree, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = known.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = known.join(least, "root").select("node", "component_id", "copies", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"))
+    classes = known.join(least, "root").select("set_key", "component_id", "copies", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"))
     # the node of an empty text is in no class
-    found = rows.join(classes, "node", "left")
+    found = rows.join(classes, "set_key", "left")
     empty = F.col("n") == 0
     return found.select(
         "doc_id",
@@ -248,11 +249,11 @@ def _links(packed: DataFrame, nodes: DataFrame, size: int, shingle: int) -> Data
             sets, (sig, doc, tag, segment, deleted) = signed(block, who)
             keep = np.flatnonzero(B.Keys.of(sig, bits).shared(block.answers))
             keep = keep[_enough(doc[keep], tag[keep], segment[keep], needs)]
-            names = np.empty(len(block.texts), object)
+            names = np.zeros(len(block.texts), np.int64)
             for w in who:
                 names[w["at"]] = w["node"]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(sig[keep].view(np.int64)), pa.array(names[doc[keep]], pa.binary()), pa.array(sets.sizes[doc[keep]], pa.int32()), pa.array(tag[keep], pa.int32()), pa.array(segment[keep], pa.int32()), pa.array(deleted[keep])],
+                [pa.array(sig[keep].view(np.int64)), pa.array(names[doc[keep]]), pa.array(sets.sizes[doc[keep]], pa.int32()), pa.array(tag[keep], pa.int32()), pa.array(segment[keep], pa.int32()), pa.array(deleted[keep])],
                 ["sig", "node", "n", "tag", "segment", "deleted"],
             )
 
@@ -341,7 +342,7 @@ def _verified(packed: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: in
         for block, who in _with_column(batches, "wanted"):
             sets = Sets(block, shingle)
             items = [sets.names[sets.bounds[w["at"]] : sets.bounds[w["at"] + 1]].view(np.int64) for w in who]
-            yield pa.RecordBatch.from_arrays([pa.array([w["node"] for w in who], pa.binary()), pa.array(items, pa.list_(pa.int64()))], ["node", "items"])
+            yield pa.RecordBatch.from_arrays([pa.array([w["node"] for w in who], pa.int64()), pa.array(items, pa.list_(pa.int64()))], ["node", "items"])
 
     items = materialize(packed.join(lists, "block").mapInArrow(fetch, NODE_SETS), "items")
     both = pairs.join(items.select(F.col("node").alias("x"), F.col("items").alias("xi")), "x").join(items.select(F.col("node").alias("y"), F.col("items").alias("yi")), "y")

@@ -77,5 +77,35 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in own}
 
 
+_WORDS = """SELECT doc_id, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS i FROM
+    (SELECT doc_id, list_filter(regexp_split_to_array({text}, '[ \\t\\n\\v\\f\\r]+'), x -> x <> '') AS ws FROM documents)"""
+
+_OP2 = f"""
+WITH RECURSIVE words AS ({_WORDS.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}),
+runs AS (SELECT doc_id, string_agg(x, ' ') OVER f AS k, count(*) OVER f AS n, i, count(*) OVER (PARTITION BY doc_id) AS total
+         FROM words WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)),
+sets AS (SELECT DISTINCT doc_id, k FROM runs WHERE n = 5 OR (total < 5 AND i = 1)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sets a JOIN sets b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.y FROM reach r JOIN both_ways l ON l.x = r.b)
+SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, m.component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) m USING (doc_id)
+"""
+
+_OP3 = f"""
+WITH words AS ({_WORDS.format(text="coalesce(text, '')")}),
+runs AS (SELECT doc_id, i, string_agg(x, ' ') OVER f AS k, count(*) OVER f AS n
+         FROM words WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+ranked AS (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS r FROM runs WHERE n = 20),
+gone AS (SELECT DISTINCT doc_id, i + d AS i, 1 AS g FROM ranked, range(20) t(d) WHERE r > 1),
+marked AS (SELECT w.doc_id, w.i, w.x, g.g FROM words w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i),
+told AS (SELECT doc_id, count(*) AS n_words, count(g) AS n_removed, string_agg(x, ' ' ORDER BY i) FILTER (g IS NULL) AS kept FROM marked GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN told USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_jaccard_join": _OP2, "op3_substring_dedup": _OP3}

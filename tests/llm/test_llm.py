@@ -1,0 +1,198 @@
+"""The training-data operators against brute force, and their edge cases."""
+
+import hashlib
+import re
+from collections import Counter
+
+import pytest
+
+from tariffscope.llm import decontaminate, html_text, jaccard_join, license_scan, mixing, quality_rules, secret_scan, sharding, substring_dedup, suffix_dedup
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, block int, node int"
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega".split()
+
+
+def _prose(n, seed):
+    out, x = [], seed * 7919 + 13
+    for _ in range(n):
+        x = (x * 1103515245 + 12345) % 2**31
+        out.append(WORDS[(x >> 8) % len(WORDS)] + str((x >> 16) % 60))
+    return " ".join(out)
+
+
+def _texts():
+    base = _prose(200, 1)
+    words = base.split()
+    near = " ".join([*words[:90], "changed", *words[91:]])
+    passage = _prose(60, 2)
+    return [
+        base, near, base, None, "", "  \n ", "one", "One", "two words", f"{_prose(80, 3)} {passage} {_prose(40, 4)}",
+        f"{_prose(30, 5)} {passage}", "a " * 300, passage.upper(), base[:400], _prose(4000, 6), "é" * 70 + " ü", "é" * 60,
+    ]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "en" if i % 2 else None, "s", 0, 0) for i, t in enumerate(_texts())]
+    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_word_windows(docs):
+    got = {r.doc_id: r for r in substring_dedup.drop_repeated_windows(docs).collect()}
+    seen = set()
+    for i, t in enumerate(_texts()):
+        w = (t or "").encode().split()
+        gone = [False] * len(w)
+        for p in range(len(w) - 19):
+            k = tuple(w[p : p + 20])
+            if k in seen:
+                gone[p : p + 20] = [True] * 20
+            seen.add(k)
+        kept = b" ".join(x for x, g in zip(w, gone, strict=True) if not g)
+        assert (got[i].n_words, got[i].n_removed, got[i].kept_sha256) == (len(w), sum(gone), hashlib.sha256(kept).hexdigest())
+
+
+def test_byte_strings(docs):
+    got = {r.doc_id: r for r in suffix_dedup.drop_repeated_bytes(docs).collect()}
+    seen = set()
+    for i, t in enumerate(_texts()):
+        b = (t or "").encode()
+        gone, own = [False] * len(b), set()
+        for p in range(len(b) - 49):
+            if b[p : p + 50] in seen:
+                gone[p : p + 50] = [True] * 50
+            own.add(b[p : p + 50])
+        seen |= own
+        kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
+        assert (got[i].n_bytes, got[i].n_removed, got[i].kept_sha256) == (len(b), sum(gone), hashlib.sha256(kept).hexdigest())
+
+
+def test_near_duplicates(docs):
+    got = {r.doc_id: r for r in jaccard_join.near_duplicates(docs).collect()}
+    sets = {}
+    for i, t in enumerate(_texts()):
+        w = (t or "").encode().translate(jaccard_join.LOWER).split()
+        sets[i] = {tuple(w[p : p + 5]) for p in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+    root = {i: i for i in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                if sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    root[a] = root[b] = min(root[a], root[b])
+    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == {i: (len(sets[i]), root[i]) for i in sets}
+
+
+def test_decontaminate(spark):
+    item = _prose(40, 9)
+    items = spark.createDataFrame([(7, item), (8, None), (9, _prose(30, 10))], "item_id bigint, text string")
+    changed = item[:100] + "#" + item[101:200] + item[202:]
+    rows = [(0, f"{_prose(50, 1)} {item.upper()}  {_prose(50, 2)}"), (1, f"{_prose(20, 3)} {changed}"), (2, _prose(500, 4)), (3, None), (4, ""), (None, item)]
+    found = decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id bigint, text string"), items).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(0, 7), (1, 7), (None, 7)}
+    assert max(r.item_end - r.item_start for r in found if r.doc_id == 0) == len(item)
+
+
+def test_html():
+    page = (
+        "<html><head><title>T</title><style>p{}</style></head><body><nav><ul><li><a href=x>Home</a></ul></nav><div class='ad'>Buy this now, it is cheap.</div>"
+        "<article><h1>A title</h1><p><b>First&nbsp;words &amp; more.<br><p>Second   paragraph, which is long enough to count.</p><p>End.</p></article>"
+        "<div id=comments><p>Nice post, I liked it a lot, really.</p></div><footer>&copy; me</footer>"
+    )
+    assert html_text.main_text(page) == "A title First words & more. Second paragraph, which is long enough to count. End."
+    assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<nav>x</nav>") == ""
+
+
+def test_license():
+    automata = license_scan.compiled(license_scan.BASE, license_scan.TEMPLATES)
+    n, base, first, last, labels, *_ = license_scan.scan_text(b"Released under the MIT License. Also Apache License, Version 2.0; under the mit-license", automata)
+    assert (n, base, first, last, labels) == (15, 3, 1, 11, "apache-2,mit")
+    assert license_scan.scan_text(b"under the mitt license", automata)[1] == 0
+    assert license_scan.scan_text(b"under the terms of the simplified BSD license", automata)[5] == "bsd"
+    assert license_scan.scan_text(b"", automata)[:6] == (0, 0, None, None, "", "")
+
+
+def test_quality_counts(docs):
+    got = {r.doc_id: r for r in quality_rules.measured(docs).collect()}
+    for i, t in enumerate(_texts()):
+        w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
+        count = Counter(tuple(w[p : p + 5]) for p in range(len(w) - 4))
+        repeated = {q for p in range(len(w) - 4) if count[tuple(w[p : p + 5])] > 1 for q in range(p, p + 5)}
+        assert (got[i].n_words, got[i].word_chars, got[i].n_repeat_words) == (len(w), sum(map(len, w)), len(repeated))
+
+
+def test_quality_certificates(spark):
+    from math import comb
+
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([(k, 300) for k in (0, 1, 2)], "k bigint, n bigint")
+    for r in rows.select("k", F.exp(quality_rules.binomial_log_tail(F.col("k"), F.col("n"), 0.01)).alias("p")).collect():
+        assert r.p == pytest.approx(sum(comb(300, i) * 0.01**i * 0.99 ** (300 - i) for i in range(r.k + 1)))
+    texts = [(i, (_prose(30, i) if i % 8 else _prose(30, i).replace(" ", "### ")), "en") for i in range(3000)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 8 > 0)) for i in range(2500)], "doc_id bigint, quality int")
+    kept = {r.doc_id: r.kept for r in quality_rules.judged(docs, labels).collect()}
+    assert all(kept[i] == (i % 8 > 0) for i in kept)
+
+
+def test_mixing_meets_targets(spark):
+    rows = [(i, _prose(5 + i % 7, i), f"s{min(i % 9, 3)}", ["en", "de"][i % 5 == 0], f"t{i % 3}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string, topic string")
+    even = {d: spark.createDataFrame([(v, 1.0) for v in vs], "value string, share double") for d, vs in {"source": ["s0", "s1", "s2", "s3"], "lang": ["en", "de"], "topic": ["t0", "t1", "t2"]}.items()}
+    got = mixing.mix(docs, targets=even).collect()
+    for d, parts in (("source", 4), ("lang", 2), ("topic", 3)):
+        sums = Counter()
+        for r in got:
+            sums[r[d]] += r.weight * r.tokens
+        assert all(v / sum(sums.values()) == pytest.approx(1 / parts, rel=1e-4) for v in sums.values())
+    assert all(0 <= r.probability <= 1 for r in got)
+
+
+def test_shards_are_even_and_keep_copies_together(spark):
+    rows = [(i, f"text {i % 40 if i < 200 else i}") for i in range(1000)]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    counts = Counter(r.shard for r in got)
+    assert len(counts) == 24 and max(counts.values()) - min(counts.values()) <= 1
+    for s in counts:
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(counts[s]))
+    homes = {}
+    for r in got:
+        if r.doc_id < 200:
+            homes.setdefault(r.doc_id % 40, set()).add(r.shard)
+    assert sum(len(h) == 1 for h in homes.values()) >= 35
+
+
+def test_secrets(spark):
+    hexes = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(60)]
+    rows = [(i, f'{_prose(6, i)} token = "{h}" {_prose(4, i)} user.{i}@mail.example.com and {i:04}567812345678') for i, h in enumerate(hexes)]
+    got = secret_scan.scan(spark.createDataFrame([*rows, (None, None)], "doc_id bigint, text string")).collect()
+    secret = {r.finding_hash for r in got if r.is_secret}
+    assert secret == {hashlib.sha256(h.encode()).hexdigest() for h in hexes}
+
+
+def test_empty_tables(spark, empty):
+    assert substring_dedup.drop_repeated_windows(empty).count() == 0
+    assert suffix_dedup.drop_repeated_bytes(empty).count() == 0
+    assert jaccard_join.near_duplicates(empty).count() == 0
+    assert sharding.shard(empty).count() == 0
+    assert license_scan.scan(empty).count() == 0
+    assert secret_scan.scan(empty).count() == 0
+    labels = spark.createDataFrame([], "doc_id bigint, quality int")
+    assert quality_rules.judged(empty, labels).count() == 0
+    items = spark.createDataFrame([], "item_id bigint, text string")
+    assert decontaminate.find_leaks(empty, items).count() == 0
+
+
+def test_repeated_rows_and_null_ids(spark):
+    text = _prose(60, 1)
+    docs = spark.createDataFrame([(1, text), (1, text), (None, text), (2, None)], "doc_id bigint, text string")
+    removed = sorted((r.n_removed, r.n_words) for r in substring_dedup.drop_repeated_windows(docs).collect())
+    assert removed == [(0, 0), (0, 60), (60, 60), (60, 60)]
+    classes = [r.component_id for r in jaccard_join.near_duplicates(docs).where("n_shingles > 0").collect()]
+    assert classes == [1, 1, 1]
+    assert sharding.shard(docs).count() == 4

@@ -209,7 +209,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _schemes(nodes: DataFrame) -> list[Scheme]:
     """One scheme per size band; their number grows with the logarithm of the largest set."""
     largest = nodes.agg(F.max("n")).first()[0] or 0
-    edges = band_edges(largest)
+    edges = band_edges(max(1, largest))
     counts = dict(nodes.groupBy(F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).alias("b")).agg(F.count("*")).collect())
     near = lambda low: sum(counts.get(int(np.log(low) / np.log(1.25)) + i, 0) for i in (-1, 0, 1))
     return [Scheme(i, low, edges[i + 1] - 1, near(low)) for i, low in enumerate(edges[:-1])]

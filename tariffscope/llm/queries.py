@@ -78,7 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 _WORDS = """SELECT doc_id, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS i FROM
-    (SELECT doc_id, list_filter(regexp_split_to_array({text}, '[ \\t\\n\\v\\f\\r]+'), x -> x <> '') AS ws FROM documents)"""
+    (SELECT doc_id, list_filter(regexp_split_to_array({text}, '[ \\t\\n\\v\\f\\r]+'), lambda x: x <> '') AS ws FROM documents)"""
 
 _OP2 = f"""
 WITH RECURSIVE words AS ({_WORDS.format(text="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,8 +17,10 @@ def ingest_available(spark: SparkSession, landing: str, out: str, checkpoint: st
     """Ingest every file not seen before, then stop. The checkpoint remembers seen files.
 
     Only names travel through the stream; each micro-batch parses its files like a batch run. A
-    rerun micro-batch replaces the same partitions, so the result does not depend on retries.
+    rerun micro-batch replaces the same partitions and failures, so the result does not depend on retries.
+    Failures are in ``out``/failures, as a seen file is not read again.
     """
+    marker = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing).schema
     path = F.col("_metadata.file_path")
     files = (
@@ -25,11 +29,11 @@ def ingest_available(spark: SparkSession, landing: str, out: str, checkpoint: st
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", FILES_PER_TRIGGER)
         .load(landing)
-        .select(path.alias("path"), F.element_at(F.split(path, "/"), -2).alias("hospital_id"))
+        .select(path.alias("path"), F.element_at(F.split(path, "/"), -2).alias("hospital_id"), F.col("modificationTime").alias("last_modified"))
     )
 
-    def ingest(batch: DataFrame, _: int) -> None:
-        ingest_files(batch.sparkSession, batch, out)
+    def ingest(batch: DataFrame, number: int) -> None:
+        ingest_files(batch.sparkSession, batch, out, run=f"{marker}-{number}")
 
     return (
         files.writeStream.foreachBatch(ingest)

@@ -25,19 +25,19 @@ def selection(prices: DataFrame, billing_code: str, product_line: str) -> DataFr
     return prices.where((F.col("billing_code") == billing_code) & (F.col("product_line") == product_line))
 
 
+def _by_hospital(prices: DataFrame) -> DataFrame:
+    return prices.groupBy(*VIEW, "hospital_name").agg(
+        F.min("min_rate").alias("lowest_rate"),
+        F.max("max_rate").alias("highest_rate"),
+        F.median("median_rate").alias("hospital_median"),
+        F.min_by("cash_price", "payer_group").alias("cash_price"),
+        F.min_by("gross_charge", "payer_group").alias("gross_charge"),
+    )
+
+
 def hospital_summary(prices: DataFrame) -> DataFrame:
     """One row per service, insurance type and hospital: range, median of carrier medians, cash, list."""
-    return (
-        prices.groupBy(*VIEW, "hospital_name")
-        .agg(
-            F.min("min_rate").alias("lowest_rate"),
-            F.max("max_rate").alias("highest_rate"),
-            F.median("median_rate").alias("hospital_median"),
-            F.min_by("cash_price", "payer_group").alias("cash_price"),
-            F.min_by("gross_charge", "payer_group").alias("gross_charge"),
-        )
-        .orderBy(*VIEW, F.asc_nulls_last("hospital_median"), "hospital_name")
-    )
+    return _by_hospital(prices).orderBy(*VIEW, F.asc_nulls_last("hospital_median"), "hospital_name")
 
 
 def service_spread(prices: DataFrame) -> DataFrame:
@@ -46,7 +46,7 @@ def service_spread(prices: DataFrame) -> DataFrame:
     low, high = F.min("hospital_median"), F.max("hospital_median")
     ratio = F.when(F.count("*") > 1, high / F.nullif(low, F.lit(0.0)))
     return (
-        hospital_summary(prices)
+        _by_hospital(prices)
         .groupBy(*VIEW)
         .agg(
             F.count("*").alias("hospitals"),

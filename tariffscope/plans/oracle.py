@@ -127,33 +127,39 @@ FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = {
     "candidates": (
         ("cleansed", "patterns"),
         """SELECT payer_name, plan_name, payer_group, product_line AS product_line_override, priority,
-        CAST(length(pattern) AS INTEGER) AS specificity, 1 AS match_source, pattern
-        FROM cleansed JOIN patterns ON lower(payer_display_name) LIKE pattern
-        UNION ALL SELECT payer_name, plan_name, payer_group, product_line, priority,
-        CAST(length(pattern) AS INTEGER), 2, pattern
-        FROM cleansed JOIN patterns ON lower(coalesce(plan_name, '')) LIKE pattern""",
+        CAST(length(pattern) AS INTEGER) AS specificity, match_source, pattern
+        FROM (SELECT payer_name, plan_name, unnest([1, 2]) AS match_source,
+              unnest([lower(payer_display_name), lower(coalesce(plan_name, ''))]) AS searched FROM cleansed)
+        JOIN patterns ON searched LIKE pattern""",
     ),
     "best": (
         ("candidates",),
-        """SELECT * FROM candidates QUALIFY row_number() OVER (PARTITION BY payer_name, plan_name
-        ORDER BY match_source, priority, specificity DESC, pattern) = 1""",
+        """SELECT payer_name, plan_name, unnest(arg_min(
+            {'payer_group': payer_group, 'product_line_override': product_line_override, 'match_source': match_source},
+            {'source': match_source, 'priority': priority, 'shortness': -specificity, 'pattern': pattern}))
+        FROM candidates GROUP BY payer_name, plan_name""",
+    ),
+    "line_rules": (
+        (),
+        r"""SELECT * FROM (VALUES (1, 'plan', '\bva\b|veteran|tricare', 'Other government'),
+        (2, 'payer', 'medicaid|masshealth|\b(aco|mco|mcd)\b', 'Medicaid'),
+        (3, 'payer', 'medicare|senior|wellcare|eternal|\bsco\b', 'Medicare Advantage'),
+        (4, 'plan', 'commercial|connector|qhp', 'Commercial'), (5, 'plan', 'medicaid|masshealth', 'Medicaid'),
+        (6, 'plan', 'medicare', 'Medicare Advantage')) v(rank, side, words, line)""",
+    ),
+    "lines": (
+        ("cleansed", "line_rules"),
+        """SELECT payer_name, plan_name, min_by(line, rank) AS line FROM cleansed JOIN line_rules
+        ON regexp_matches(lower(CASE side WHEN 'plan' THEN coalesce(plan_name, '') ELSE payer_display_name END), words)
+        GROUP BY payer_name, plan_name""",
     ),
     "payers": (
-        ("cleansed", "best"),
-        r"""SELECT md5(payer_name || '|' || coalesce(plan_name, '')) AS payer_key, payer_name, plan_name,
-        payer_display_name, is_retired_payer, coalesce(payer_group, 'Other') AS payer_group, match_source,
-        CASE WHEN product_line_override IS NOT NULL THEN product_line_override
-             WHEN regexp_matches(plan, '\bva\b|veteran|tricare') THEN 'Other government'
-             WHEN regexp_matches(payer, 'medicaid|masshealth|\b(aco|mco|mcd)\b') THEN 'Medicaid'
-             WHEN regexp_matches(payer, 'medicare|senior|wellcare|eternal|\bsco\b') THEN 'Medicare Advantage'
-             WHEN regexp_matches(plan, 'commercial|connector|qhp') THEN 'Commercial'
-             WHEN regexp_matches(plan, 'medicaid|masshealth') THEN 'Medicaid'
-             WHEN regexp_matches(plan, 'medicare') THEN 'Medicare Advantage'
-             ELSE 'Commercial' END AS product_line
-        FROM (SELECT c.*, payer_group, match_source, product_line_override, lower(c.payer_display_name) AS payer,
-              lower(coalesce(c.plan_name, '')) AS plan
-              FROM cleansed c LEFT JOIN best b ON c.payer_name = b.payer_name
-              AND c.plan_name IS NOT DISTINCT FROM b.plan_name)""",
+        ("cleansed", "best", "lines"),
+        """SELECT md5(payer_name || '|' || coalesce(plan_name, '')) AS payer_key, payer_name, plan_name,
+        any_value(payer_display_name) AS payer_display_name, any_value(is_retired_payer) AS is_retired_payer,
+        coalesce(any_value(payer_group), 'Other') AS payer_group, any_value(match_source) AS match_source,
+        coalesce(any_value(product_line_override), any_value(line), 'Commercial') AS product_line
+        FROM (FROM cleansed UNION ALL BY NAME FROM best UNION ALL BY NAME FROM lines) GROUP BY payer_name, plan_name""",
     ),
     "item_prices": (
         ("coded",),
@@ -172,54 +178,54 @@ FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = {
         WHERE billing_code IS NOT NULL AND gross_charge IS NOT NULL GROUP BY ALL""",
     ),
     "priced": (
-        ("coded", "payers", "item_prices", "item_prices_any", "code_prices", "services"),
-        """SELECT c.* EXCLUDE (gross_charge, discounted_cash), p.payer_key,
-        i.gross_charge AS g1, a.gross_charge AS g2, b.gross_charge AS g3,
-        coalesce(i.gross_charge, a.gross_charge, b.gross_charge) AS gross_charge,
-        coalesce(i.discounted_cash, a.discounted_cash, b.discounted_cash) AS discounted_cash,
-        s.service_name IS NOT NULL AS is_shoppable
-        FROM coded c
-        JOIN payers p ON c.payer_name = p.payer_name AND c.plan_name IS NOT DISTINCT FROM p.plan_name
-        LEFT JOIN item_prices i ON c.hospital_id = i.hospital_id AND c.description = i.description
-            AND c.code_signature = i.code_signature AND c.setting IS NOT DISTINCT FROM i.setting
-            AND c.modifiers IS NOT DISTINCT FROM i.modifiers
-        LEFT JOIN item_prices_any a ON c.hospital_id = a.hospital_id AND c.description = a.description
-            AND c.code_signature = a.code_signature AND c.modifiers IS NOT DISTINCT FROM a.modifiers
-        LEFT JOIN code_prices b ON c.hospital_id = b.hospital_id AND c.billing_code = b.billing_code
-            AND c.billing_code_type = b.billing_code_type
-        LEFT JOIN services s ON c.billing_code = s.billing_code AND c.billing_code_type = s.billing_code_type""",
+        ("coded", "services"),
+        """SELECT * EXCLUDE (gross_charge, discounted_cash), [
+            {'match': 'same item', 'gross': max(gross_charge) OVER same, 'cash': max(discounted_cash) OVER same},
+            {'match': 'same item, other setting', 'gross': max(gross_charge) OVER item, 'cash': max(discounted_cash) OVER item},
+            {'match': 'same billing code', 'gross': CASE WHEN billing_code IS NOT NULL THEN median(gross_charge) OVER code END,
+             'cash': CASE WHEN billing_code IS NOT NULL THEN median(discounted_cash) FILTER (gross_charge IS NOT NULL) OVER code END}
+        ] AS levels,
+        EXISTS (FROM services s WHERE s.billing_code = coded.billing_code AND s.billing_code_type = coded.billing_code_type)
+            AS is_shoppable
+        FROM coded WINDOW item AS (PARTITION BY hospital_id, description, code_signature, modifiers),
+        same AS (PARTITION BY hospital_id, description, code_signature, modifiers, setting),
+        code AS (PARTITION BY hospital_id, billing_code, billing_code_type)""",
     ),
     "fact": (
         ("priced",),
         """SELECT md5(concat_ws('|', hospital_id, description, code_signature, setting, modifiers, payer_name, plan_name))
             AS rate_key,
-        hospital_id, billing_code, billing_code_type, description, setting, modifiers, payer_key, code_signature,
-        gross_charge, discounted_cash,
-        CASE WHEN g1 IS NOT NULL THEN 'same item' WHEN g2 IS NOT NULL THEN 'same item, other setting'
-             WHEN g3 IS NOT NULL THEN 'same billing code' END AS list_price_match,
-        negotiated_dollar, negotiated_percentage, negotiated_algorithm,
-        coalesce(negotiated_dollar, negotiated_percentage / 100.0 * gross_charge) AS effective_rate,
-        CASE WHEN negotiated_dollar IS NOT NULL THEN 'dollar'
-             WHEN negotiated_percentage IS NOT NULL AND gross_charge IS NOT NULL THEN 'derived_from_percentage'
-             WHEN negotiated_algorithm IS NOT NULL THEN 'algorithm_only' END AS rate_source,
-        methodology, median_amount, p10_amount, p90_amount, allowed_count, is_shoppable FROM priced""",
+        hospital_id, billing_code, billing_code_type, description, setting, modifiers,
+        md5(payer_name || '|' || coalesce(plan_name, '')) AS payer_key, code_signature,
+        found.gross AS gross_charge, list_filter(levels, lambda x: x.cash IS NOT NULL)[1].cash AS discounted_cash,
+        found.match AS list_price_match, negotiated_dollar, negotiated_percentage, negotiated_algorithm,
+        CASE WHEN negotiated_dollar IS NULL THEN negotiated_percentage / 100.0 * found.gross ELSE negotiated_dollar END
+            AS effective_rate,
+        list_filter([{'has': negotiated_dollar IS NOT NULL, 'source': 'dollar'},
+            {'has': negotiated_percentage + found.gross IS NOT NULL, 'source': 'derived_from_percentage'},
+            {'has': negotiated_algorithm IS NOT NULL, 'source': 'algorithm_only'}], lambda x: x.has)[1].source AS rate_source,
+        methodology, median_amount, p10_amount, p90_amount, allowed_count, is_shoppable
+        FROM (SELECT *, list_filter(levels, lambda x: x.gross IS NOT NULL)[1] AS found FROM priced WHERE payer_name IS NOT NULL)""",
     ),
     "rates": (
         ("fact", "services", "hospitals", "payers"),
-        """SELECT category, service_name, f.billing_code, hospital_name, payer_group, product_line, effective_rate,
+        """SELECT category, service_name, billing_code, hospital_name, payer_group, product_line, effective_rate,
         median_amount, gross_charge, discounted_cash,
-        methodology LIKE 'percent%' OR rate_source = 'derived_from_percentage' AS is_percent, methodology
-        FROM fact f JOIN services s ON f.billing_code = s.billing_code AND f.billing_code_type = s.billing_code_type
-        JOIN hospitals h ON f.hospital_id = h.hospital_id JOIN payers p ON f.payer_key = p.payer_key
-        WHERE effective_rate IS NOT NULL AND NOT is_retired_payer""",
+        starts_with(methodology, 'percent') OR rate_source = 'derived_from_percentage' AS is_percent, methodology
+        FROM (FROM fact WHERE is_shoppable AND effective_rate IS NOT NULL) JOIN services USING (billing_code, billing_code_type)
+        JOIN (FROM payers WHERE NOT is_retired_payer) USING (payer_key) JOIN hospitals USING (hospital_id)""",
     ),
     "mart": (
         ("rates",),
         """SELECT category, service_name, billing_code, hospital_name, payer_group, product_line,
-        count(*) AS plan_rates, min(effective_rate) AS min_rate, round(median(effective_rate), 2) AS median_rate,
-        max(effective_rate) AS max_rate, round(median(median_amount), 2) AS median_actually_paid,
-        max(gross_charge) AS gross_charge, max(discounted_cash) AS cash_price,
-        bool_or(is_percent) AS includes_percentage_rates FROM rates GROUP BY ALL""",
+        CAST(len(agreed) AS BIGINT) AS plan_rates, agreed[1] AS min_rate, round(list_median(agreed), 2) AS median_rate,
+        agreed[-1] AS max_rate, round(list_median(paid), 2) AS median_actually_paid,
+        listed[-1] AS gross_charge, cash[-1] AS cash_price, includes_percentage_rates
+        FROM (SELECT category, service_name, billing_code, hospital_name, payer_group, product_line,
+              list(effective_rate ORDER BY effective_rate) AS agreed, list(median_amount) AS paid,
+              list(gross_charge ORDER BY gross_charge NULLS FIRST) AS listed,
+              list(discounted_cash ORDER BY discounted_cash NULLS FIRST) AS cash,
+              bool_or(is_percent) AS includes_percentage_rates FROM rates GROUP BY ALL)""",
     ),
     "benchmarked": (
         ("mart",),

@@ -364,7 +364,7 @@ def _(spark, sf):
     "dq_rate_above_list",
     oracle.sql(
         """SELECT hospital_id, billing_code, description, payer_key, effective_rate, gross_charge FROM fact
-        WHERE methodology = 'fee schedule' AND effective_rate > gross_charge * 1.05""",
+        WHERE methodology = 'fee schedule' AND gross_charge > 0 AND effective_rate / gross_charge > 1.05""",
         "fact",
     ),
 )
@@ -375,26 +375,32 @@ def _(spark, sf):
 @register(
     "dq_coverage",
     oracle.sql(
-        """SELECT h.hospital_id, count(DISTINCT f.billing_code) AS shoppable_services_found,
-        (SELECT count(*) FROM services) AS shoppable_services_total
-        FROM hospitals h LEFT JOIN fact f ON h.hospital_id = f.hospital_id AND f.is_shoppable
-        GROUP BY h.hospital_id HAVING count(DISTINCT f.billing_code) < 0.5 * (SELECT count(*) FROM services)""",
+        """SELECT hospital_id, len(offered) AS shoppable_services_found, len(compared) AS shoppable_services_total
+        FROM (SELECT hospital_id, list_intersect(coalesce(list(billing_code) FILTER (payer_name IS NOT NULL), []),
+                  (SELECT list(billing_code) FROM services)) AS offered, (SELECT list(billing_code) FROM services) AS compared
+              FROM hospitals LEFT JOIN (FROM coded SEMI JOIN services USING (billing_code, billing_code_type)) USING (hospital_id)
+              GROUP BY hospital_id)
+        WHERE 2 * len(offered) < len(compared)""",
         "hospitals",
-        "fact",
+        "coded",
         "services",
     ),
 )
 def _(spark, sf):
     model = Model(spark, sf)
-    return quality.low_coverage(model.hospitals, model.fact(shoppable_only=True), model.services)
+    # coverage needs no prices: charges of compared services with a payer
+    rated = model.coded.where("payer_name is not null")
+    offered = rated.join(F.broadcast(model.services), ["billing_code", "billing_code_type"], "left_semi")
+    return quality.low_coverage(model.hospitals, offered.withColumn("is_shoppable", F.lit(True)), model.services)
 
 
 @register(
     "dq_unmapped_payers",
     oracle.sql(
-        """SELECT payer_name, plan_name, count(*) AS rates FROM fact f JOIN payers p ON f.payer_key = p.payer_key
-        WHERE payer_group = 'Other' GROUP BY ALL""",
-        "fact",
+        """SELECT payer_name, plan_name, count(*) AS rates FROM staged WHERE payer_name IS NOT NULL
+        AND md5(payer_name || '|' || coalesce(plan_name, '')) IN (SELECT payer_key FROM payers WHERE payer_group = 'Other')
+        GROUP BY payer_name, plan_name""",
+        "staged",
         "payers",
     ),
 )

@@ -39,9 +39,12 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled to the target shares of sources, languages and topics."""
+    """Documents sampled towards the target shares of sources, languages and topics.
+
+    Those of cells below their share all stay; only cells above it are thinned out.
+    """
     dimensions = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic_of(F.col("text"))}
-    told = materialize(mixing.mix(docs, dimensions=dimensions).select("doc_id", "sampled"), "choices")
+    told = materialize(mixing.mix(docs, dimensions=dimensions, full_weight=1.0).select("doc_id", "sampled"), "choices")
     return _chosen(docs, told.where("sampled"), "left_semi")
 
 

@@ -80,6 +80,7 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dimensions: dict[str, Column] | None = None,
     targets: dict[str, DataFrame] | None = None, seed: int = 1, rounds: int = ROUNDS,
+    full_weight: float | None = None,
 ) -> DataFrame:
     """Weight, probability and choice of every document.
 
@@ -87,6 +88,11 @@ def mix(
     share) for each, by default natural shares raised to the power 0.7. Returns doc_id, the dimensions,
     tokens (words), weight, probability and sampled. The choice depends on the document and the seed only.
 
+    ``full_weight`` is the weight from which on a document is kept for sure; by default the largest one, so
+    that expected tokens have the target shares exactly, however few documents that leaves. A smaller one
+    keeps more: cells above it give all they have, which is less than their share, the others keep their
+    proportions to each other.
+
     A null value of a dimension is the value "" (so a null source is a source). A text without words has no tokens and gets the
     weight of its cell; cells without tokens keep weight 1 of their own. Rows with equal id and text are
     chosen together. Values without a target weigh 0; targets of values that do not occur are shared out
@@ -100,7 +106,7 @@ def mix(
     keys = list(named)
     cells = materialize(rows.groupBy(*keys).agg(F.sum("tokens").alias("tokens")), "cells")
     weights = raked(cells, targets or {d: tempered(cells, d) for d in keys}, rounds)
-    most = weights.where("tokens > 0").agg(F.max("weight")).first()[0] or 1.0
+    most = full_weight or weights.where("tokens > 0").agg(F.max("weight")).first()[0] or 1.0
     told = rows.join(weights.select(*keys, "weight"), keys)
     probability = F.least(F.lit(1.0), F.col("weight") / F.lit(most))
     return told.select("doc_id", *keys, "tokens", "weight", probability.alias("probability"), (F.col("luck") < probability).alias("sampled"))

@@ -140,6 +140,22 @@ def test_quality_certificates(spark):
     assert all(kept[i] == (i % 8 > 0) for i in kept)
 
 
+def test_mixing_keeps_what_lies_below_its_share(spark):
+    """With a full weight of 1 only cells above their target lose documents."""
+    rows = [(i, "w " * 10, "en" if i % 10 else "fr", "web", i, i) for i in range(2000)]
+    dims = {"lang": "en", "source": "web"}
+    even = {"lang": spark.createDataFrame([("en", 0.5), ("fr", 0.5)], "value string, share double"),
+            "source": spark.createDataFrame([("web", 1.0)], "value string, share double")}
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = mixing.mix(docs, dimensions={d: F.col(d) for d in dims}, targets=even, full_weight=1.0).collect()
+    assert all(r.sampled and r.probability == 1.0 for r in got if r.lang == "fr")
+    en = [r for r in got if r.lang == "en"]
+    assert all(abs(r.probability - 0.5 / 0.9) < 1e-6 for r in en)
+    assert abs(sum(r.sampled for r in en) / len(en) - 0.5 / 0.9) < 0.05
+
+
 def test_mixing_meets_targets(spark):
     rows = [(i, _prose(5 + i % 7, i), f"s{min(i % 9, 3)}", ["en", "de"][i % 5 == 0], f"t{i % 3}") for i in range(600)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string, topic string")

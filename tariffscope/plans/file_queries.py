@@ -10,7 +10,7 @@ from tariffscope import schema
 from tariffscope.functions import text as X
 from tariffscope.functions.dates import flexible_date
 from tariffscope.operators import quality
-from tariffscope.plans import oracle, sample_charges, sample_files
+from tariffscope.plans import oracle, pipeline, sample_charges, sample_files
 from tariffscope.plans.queries import register
 from tariffscope.session import materialize, shared_dir
 from tariffscope.sources import admission, csv_files, headers, index, json_files, tables
@@ -52,18 +52,34 @@ def _json(spark, sf):
     return json_files.documents_to_charges(docs.select("hospital_id", "d.*"), "hospital_id")
 
 
-@register(
-    "tall_to_long",
-    oracle.sql(
-        f"""SELECT trim(description) AS description, trim(setting) AS setting, trim(notes) AS notes, {_LONG}
-        FROM (SELECT * REPLACE (trim(payer_name) AS payer_name, trim(plan_name) AS plan_name) FROM charges)""",
-        "charges",
-    ),
+_TALL_SQL = oracle.sql(
+    f"""SELECT trim(description) AS description, trim(setting) AS setting, trim(notes) AS notes, {_LONG}
+    FROM (SELECT * REPLACE (trim(payer_name) AS payer_name, trim(plan_name) AS plan_name) FROM charges)""",
+    "charges",
 )
+
+
+@register("tall_to_long", _TALL_SQL)
 def _(spark, sf):
     return _plain_codes(_tall(spark, sf)).select("description", "setting", "notes", *_LONG_COLUMNS)
 
 
+@register("ingested_files", _TALL_SQL)
+def _(spark, sf):
+    """The tall files of all hospitals, written to the shared folder and read by the ingest job."""
+    heads, records = sample_files.tall_file(spark, sf)
+    first = heads.select("path", F.inline(F.transform("head_lines", lambda line: F.struct(F.lit(0).alias("order"), line.alias("value")))))
+    lines = materialize(records.select("path", F.lit(1).alias("order"), "value"), "records")
+    both = first.join(lines, "path", "left_semi").unionByName(lines)
+    hospital = F.element_at(F.split("path", "/"), 1)
+    landing, out = (f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}" for name in ("landing", "ingested"))
+    sorted_lines = both.select(hospital.alias("of"), "order", "value").repartition("of").sortWithinPartitions("of", "order")
+    sorted_lines.drop("order").write.partitionBy("of").text(landing)
+    files = headers.list_files(spark, landing).withColumn("hospital_id", F.regexp_replace("hospital_id", "^of=", ""))
+    pipeline.ingest_files(spark, files, out)
+    return _plain_codes(tables.read_charges(spark, f"{out}/charges")).select("description", "setting", "notes", *_LONG_COLUMNS)
+
+
 _NO_PAYER = ", ".join(f"NULL AS {c}" for c in _RATE)
 
 

@@ -20,7 +20,9 @@ least cost: signatures sent, plus pairs expected from segments too small to tell
    are paid for from the spare segments; a node that has more of them than it can spare keeps the
    cheapest. So a signature gives a bounded number of pairs, and no link between components is lost.
 
-Pairs are verified on the whole sets.
+A pair whose sets must differ in too many elements is left out by the join that makes it: each node has
+a bitmap, in which every element of its set flips one bit, so two bitmaps differ in no more bits than the
+sets do in elements. The other pairs are verified on the whole sets.
 """
 
 from __future__ import annotations
@@ -42,19 +44,22 @@ U = np.uint64
 SHINGLE = 5
 #: A signature is dear when it would give more pairs than the square of this.
 DEAR = 16
+#: Words of 64 bits in a node's bitmap. More would tell larger sets apart, at eight bytes a node and signature.
+BITMAP = 4
+BITS = [f"b{i}" for i in range(BITMAP)]
 
 LOWER = bytes(range(256)).translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"))
 
 
 class Sets:
-    """The shingle sets of a block's documents: names in ``names``, those of document d at bounds[d:d+2]."""
+    """The shingle sets of texts: names in ``names``, those of text d at bounds[d:d+2]."""
 
-    def __init__(self, block: B.Block, shingle: int):
-        buf, offsets = join_texts([t.translate(LOWER) for t in block.texts])
+    def __init__(self, texts: list[bytes], shingle: int):
+        buf, offsets = join_texts([t.translate(LOWER) for t in texts])
         starts, ends = word_spans(buf)
         doc = np.searchsorted(offsets, starts, "right") - 1
         words = word_names(buf, starts, ends)
-        first = np.searchsorted(doc, np.arange(len(block.texts) + 1))
+        first = np.searchsorted(doc, np.arange(len(texts) + 1))
         n = np.diff(first)
         whole = window_names(words, shingle, 1)
         inside = doc[: len(whole)] == doc[shingle - 1 :] if len(whole) else np.zeros(0, bool)
@@ -67,7 +72,7 @@ class Sets:
         new = np.ones(len(order), bool)
         new[1:] = (owner[1:] != owner[:-1]) | (names[1:] != names[:-1])
         self.owner, self.names = owner[new], names[new]
-        self.bounds = np.searchsorted(self.owner, np.arange(len(block.texts) + 1))
+        self.bounds = np.searchsorted(self.owner, np.arange(len(texts) + 1))
         self.sizes = np.diff(self.bounds)
 
     def keys(self) -> list[bytes]:
@@ -79,6 +84,13 @@ class Sets:
             parts.append(mix(sums + self.sizes.astype(U)))
         return [row.tobytes() for row in np.stack(parts, 1)]
 
+    def bitmaps(self) -> list[np.ndarray]:
+        """Per document the words of its bitmap: every element flips one bit."""
+        at = mix(self.names + U(17)) % U(64 * BITMAP)
+        words = np.zeros((BITMAP, len(self.sizes)), U)
+        np.bitwise_xor.at(words, ((at >> U(6)).astype(np.int64), self.owner), U(1) << (at & U(63)))
+        return list(words.view(np.int64))
+
 
 class Scheme:
     """How the sets of one size band and the smaller ones they can pair with are cut into segments."""
@@ -147,7 +159,7 @@ def signatures(sets: Sets, docs: np.ndarray, schemes: list[Scheme]) -> tuple[np.
 
 
 NODE_SETS = "node bigint, items array<bigint>"
-SET_ROWS = "doc_id bigint, block bigint, at int, n bigint, set_key binary"
+SET_ROWS = ", ".join(["doc_id bigint, block bigint, at int, n bigint, set_key binary", *(f"{b} bigint" for b in BITS)])
 SIGNED = "sig bigint, node bigint, n int, tag int, segment int, deleted boolean"
 
 
@@ -175,17 +187,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in B.opened(batches):
-            sets = Sets(block, shingle)
+            sets = Sets(block.texts, shingle)
             n = len(block.texts)
             yield pa.RecordBatch.from_arrays(
-                [block.id_column(), pa.array([block.number] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(sets.sizes, pa.int64()), pa.array(sets.keys(), pa.binary())],
-                ["doc_id", "block", "at", "n", "set_key"],
+                [block.id_column(), pa.array([block.number] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(sets.sizes, pa.int64()), pa.array(sets.keys(), pa.binary()), *map(pa.array, sets.bitmaps())],
+                ["doc_id", "block", "at", "n", "set_key", *BITS],
             )
 
     rows = materialize(packed.mapInArrow(set_rows, SET_ROWS), "sets")
     nodes = materialize(
-        rows.where("n > 0").groupBy("set_key", "n").agg(F.min(F.struct("block", "at")).alias("p"), F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
-        .select("set_key", (F.shiftleft("p.block", 17) + F.col("p.at")).alias("node"), "n", "p.block", "p.at", "first_id", "copies"),
+        rows.where("n > 0").groupBy("set_key", "n").agg(F.min(F.struct("block", "at")).alias("p"), F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), *(F.first(b).alias(b) for b in BITS))
+        .select("set_key", (F.shiftleft("p.block", 17) + F.col("p.at")).alias("node"), "n", "p.block", "p.at", "first_id", "copies", *BITS),
         "nodes",
     )
     links = _links(packed, nodes, size, shingle)
@@ -225,9 +237,8 @@ def _links(packed: DataFrame, nodes: DataFrame, size: int, shingle: int) -> Data
     needs = np.array([s.need for s in schemes], np.int64)
 
     def signed(block: B.Block, who: list) -> tuple:
-        sets = Sets(block, shingle)
-        docs = np.array(sorted(w["at"] for w in who), np.int64)
-        return sets, signatures(sets, docs, schemes)
+        sets = Sets([block.texts[w["at"]] for w in who], shingle)
+        return sets, signatures(sets, np.arange(len(who)), schemes)
 
     key_field = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("f0", pa.binary())])
 
@@ -249,9 +260,7 @@ def _links(packed: DataFrame, nodes: DataFrame, size: int, shingle: int) -> Data
             sets, (sig, doc, tag, segment, deleted) = signed(block, who)
             keep = np.flatnonzero(B.Keys.of(sig, bits).shared(block.answers))
             keep = keep[_enough(doc[keep], tag[keep], segment[keep], needs)]
-            names = np.zeros(len(block.texts), np.int64)
-            for w in who:
-                names[w["at"]] = w["node"]
+            names = np.array([w["node"] for w in who], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(sig[keep].view(np.int64)), pa.array(names[doc[keep]]), pa.array(sets.sizes[doc[keep]], pa.int32()), pa.array(tag[keep], pa.int32()), pa.array(segment[keep], pa.int32()), pa.array(deleted[keep])],
                 ["sig", "node", "n", "tag", "segment", "deleted"],
@@ -280,7 +289,7 @@ def _links(packed: DataFrame, nodes: DataFrame, size: int, shingle: int) -> Data
     second = stars(named.join(spread, "sig"), F.xxhash64("node", F.lit(1))).join(done.select("x", "y"), ["x", "y"], "left_anti")
     done = materialize(done.union(_verified(packed, nodes, second, shingle)), "links")
     roots = materialize(components(done.where("linked").select(F.col("x").alias("a"), F.col("y").alias("b"))), "roots")
-    rest = _between(signed_rows, spread, roots, schemes, need).join(done.select("x", "y"), ["x", "y"], "left_anti")
+    rest = _between(signed_rows, spread, nodes, roots, schemes, need).join(done.select("x", "y"), ["x", "y"], "left_anti")
     done = materialize(done.union(_verified(packed, nodes, rest, shingle)), "links")
     return done.where("linked").select("x", "y")
 
@@ -304,11 +313,10 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
-def _between(signed: DataFrame, spread: DataFrame, roots: DataFrame, schemes: list[Scheme], need) -> DataFrame:
-    """All pairs of different components that share a signature which neither side could spare."""
+def _between(signed: DataFrame, spread: DataFrame, nodes: DataFrame, roots: DataFrame, schemes: list[Scheme], need) -> DataFrame:
+    """All pairs of different components that share a signature which neither side could spare, and whose bitmaps agree enough."""
     spares = F.create_map(*[F.lit(v) for s in schemes for v in (s.number, s.spare)])
-    rows = signed.join(spread, "sig").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rows = rows.withColumn("dear", F.col("rest") * F.col("total") > DEAR * DEAR)
+    rows = signed.join(spread, "sig").withColumn("dear", F.col("rest") * F.col("total") > DEAR * DEAR)
     cost = F.col("rest") * F.col("total")
     # a segment is as dear as its dearest signature; a node spares its dearest segments
     segments = rows.where("dear").groupBy("node", "tag", "segment").agg(F.max(cost).alias("cost"))
@@ -324,10 +332,13 @@ def _between(signed: DataFrame, spread: DataFrame, roots: DataFrame, schemes: li
     # agreement in dear segments is not seen, so that much less of it is asked for
     unseen = segments.groupBy("node", "tag").agg(F.count("*").alias("unseen"))
     rows = rows.join(unseen, ["node", "tag"], "left").withColumn("least", F.greatest(F.lit(1), need - F.coalesce("unseen", F.lit(0))))
-    rows = materialize(rows.select("sig", "node", "n", "tag", "segment", "root", "dear", "needs", "deleted", "least"), "open")
-    x = rows.select("sig", "tag", "segment", "least", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"), F.col("deleted").alias("xd"), "dear", "needs").where("needs or not dear")
-    y = rows.select("sig", F.col("node").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"), F.col("deleted").alias("yd"))
-    pairs = x.join(y, "sig").where((F.col("xr") != F.col("yr")) & ~(F.col("xd") & F.col("yd")) & (F.least("xn", "yn") * 5 >= F.greatest("xn", "yn") * 4))
+    known = nodes.select("node", *BITS).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = materialize(rows.join(known, "node").select("sig", "node", "n", "tag", "segment", "root", "dear", "needs", "deleted", "least", *BITS), "open")
+    x = rows.select("sig", "tag", "segment", "least", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"), F.col("deleted").alias("xd"), "dear", "needs", *(F.col(b).alias(f"x{b}") for b in BITS)).where("needs or not dear")
+    y = rows.select("sig", F.col("node").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"), F.col("deleted").alias("yd"), *(F.col(b).alias(f"y{b}") for b in BITS))
+    apart = sum((F.bit_count(F.col(f"x{b}").bitwiseXOR(F.col(f"y{b}"))) for b in BITS), F.lit(0))
+    fits = (F.least("xn", "yn") * 5 >= F.greatest("xn", "yn") * 4) & (apart * 9 <= F.col("xn") + F.col("yn"))
+    pairs = x.join(y, "sig").where((F.col("xr") != F.col("yr")) & ~(F.col("xd") & F.col("yd")) & fits)
     agreed = pairs.groupBy("x", "y", "tag").agg(F.count_distinct("segment").alias("c"), F.max("dear").alias("dear"), F.max("least").alias("least"))
     return _ordered(agreed.where(F.col("dear") | (F.col("c") >= F.col("least"))))
 
@@ -340,8 +351,8 @@ def _verified(packed: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: in
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, who in _with_column(batches, "wanted"):
-            sets = Sets(block, shingle)
-            items = [sets.names[sets.bounds[w["at"]] : sets.bounds[w["at"] + 1]].view(np.int64) for w in who]
+            sets = Sets([block.texts[w["at"]] for w in who], shingle)
+            items = np.split(sets.names.view(np.int64), sets.bounds[1:-1])
             yield pa.RecordBatch.from_arrays([pa.array([w["node"] for w in who], pa.int64()), pa.array(items, pa.list_(pa.int64()))], ["node", "items"])
 
     items = materialize(packed.join(lists, "block").mapInArrow(fetch, NODE_SETS), "items")

@@ -15,6 +15,9 @@ _DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+#: Temporary folders of local sessions without the setting, by application.
+_own_folders: dict[str, str] = {}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings every job here relies on."""
@@ -40,14 +43,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local master may fall back to a temporary folder of this machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _own_folders.get(spark.sparkContext.applicationId)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="tariffscope-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    # a running session doesn't take this setting
+    return _own_folders.setdefault(spark.sparkContext.applicationId, folder)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -87,6 +87,21 @@ def test_near_duplicates(docs):
     assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == {i: (len(sets[i]), root[i]) for i in sets}
 
 
+def test_bitmaps_never_differ_more_than_the_sets():
+    texts = [t.encode() for t in _texts() if t is not None]
+    texts += [" ".join(_prose(n, 9).split()[k:]).encode() for n in (8, 30, 120) for k in (0, 1, 5)]
+    sets = jaccard_join.Sets(texts, 5)
+    maps = [[int(w) % 2**64 for w in ws] for ws in zip(*sets.bitmaps(), strict=True)]
+    items = [set(sets.names[a:b].tolist()) for a, b in zip(sets.bounds[:-1], sets.bounds[1:], strict=True)]
+    told_apart = 0
+    for a, x in zip(items, maps, strict=True):
+        for b, y in zip(items, maps, strict=True):
+            bits = sum((v ^ w).bit_count() for v, w in zip(x, y, strict=True))
+            assert bits <= len(a ^ b) and (len(a ^ b) - bits) % 2 == 0
+            told_apart += 9 * bits > len(a) + len(b)
+    assert told_apart > len(items)
+
+
 def test_decontaminate(spark):
     item = _prose(40, 9)
     items = spark.createDataFrame([(7, item), (8, None), (9, _prose(30, 10))], "item_id bigint, text string")

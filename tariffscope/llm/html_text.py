@@ -3,8 +3,9 @@
 A page is read once into blocks: runs of text between block tags, each with the path of tags from the
 root to it. For every path the ratio of its text to its number of blocks, and the punctuation in them,
 are aggregated over the page, smoothed over neighbouring blocks in page order and fused into one score.
-Paths above a threshold that the page's own scores set hold content. The smallest element that holds
-nearly all content is the article; everything in it that is not marked up as something else is its text.
+Paths above a threshold that the page's own scores set hold content. The smallest element that holds all
+content is the article, or the article, main or other element around it that directly holds headings or
+paragraphs beside it; everything in it that is not marked up as something else is its text.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ _NOT_WORD = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar footer bottombar sidebar aside rail widget widgets ad ads advert adverts advertisement advertising adsbygoogle sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments disqus respond reply replies pagination pager toc skip copyright legal".split()
 )
 _ARTICLE = frozenset("article main".split())
+_CONTAINER = frozenset("html body article main div section center td th form fieldset".split())
+_PART = frozenset("h1 h2 h3 h4 h5 h6 hgroup p section article blockquote pre table dl figure details".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([A-Za-z][^\s/>]*)[^>]*(?:>|\Z)|<([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I | re.S)
@@ -196,6 +199,29 @@ def content_paths(blocks: list[Text], width: int = 1) -> set[tuple]:
     return {p for p, s in best.items() if s >= min(spread, mean)} or set(best)
 
 
+def _article(content: list[Text], blocks: list[Text]) -> tuple:
+    """The smallest element that holds all content, and what stands directly beside it as part of the same text."""
+    key, path = content[0].inside, content[0].path
+    for b in content:
+        same = 0
+        while same < len(key) and same < len(b.inside) and key[same] == b.inside[same]:
+            same += 1
+        key, path = key[:same], path[:same]
+    # a paragraph, list or table is no article by itself: its neighbours belong to it
+    size = len(key)
+    while size and path[size - 1] not in _CONTAINER:
+        size -= 1
+    size = next((i + 1 for i in range(size - 1, -1, -1) if path[i] in _ARTICLE), size)
+    beside = [len(b.inside) for b in blocks if len(b.inside) < size and b.inside == key[: len(b.inside)]]
+    for b in blocks:
+        same = 0
+        while same < size and same < len(b.inside) and key[same] == b.inside[same]:
+            same += 1
+        if same < size and same < len(b.inside) and b.path[same] in _PART:
+            beside.append(same)
+    return key[: min([size, *beside])]
+
+
 def main_text(page: str | None) -> str:
     """The article of a page: blocks in page order, one space between them; empty if there is none."""
     blocks = [b for b in text_blocks(page or "") if not b.unwanted]
@@ -203,15 +229,7 @@ def main_text(page: str | None) -> str:
         return ""
     paths = content_paths(blocks)
     content = [b for b in blocks if b.path in paths]
-    whole = sum(len(b.text) for b in content)
-    weight: dict[tuple, int] = defaultdict(int)
-    for b in content:
-        for i in range(len(b.inside) + 1):
-            weight[b.inside[:i]] += len(b.text)
-    article = max((k for k, w in weight.items() if 10 * w >= 9 * whole), key=len)
-    # a paragraph that holds nearly all text is no article by itself: its neighbours belong to it
-    while article and sum(1 for b in blocks if b.inside[: len(article)] == article) < 2 and len(article) > 1:
-        article = article[:-1]
+    article = _article(content, blocks)
     return " ".join(b.text for b in blocks if b.inside[: len(article)] == article)
 
 

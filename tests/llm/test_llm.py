@@ -122,6 +122,21 @@ def test_html():
     assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<nav>x</nav>") == ""
 
 
+def test_html_keeps_what_stands_beside_the_largest_part():
+    long = [f"Sentence {i} of the body, which is long enough to hold nearly all text of the page." for i in range(40)]
+    body = "".join(f"<p>{t}</p>" for t in long)
+    whole = " ".join(long)
+    for tag in ("article", "div"):
+        assert html_text.main_text(f"<body><{tag}><h1>Title</h1><p>Lead.</p><div class=body><div>{body}</div></div></{tag}>") == f"Title Lead. {whole}"
+    for tag in ("section", "article", "div"):
+        two = f"<{tag}>{body}</{tag}><{tag}><p>The second part, with a shorter text.</p></{tag}>"
+        assert html_text.main_text(f"<body><div>{two}</div>") == f"{whole} The second part, with a shorter text."
+    row = "Cell of a table with a long text, much longer than all prose around it. " * 9
+    for around in ("<ul><li>{}<li>{}</ul>", "<blockquote><p>{}<p>{}</blockquote>", "<table><tr><td>{}<td>{}</table>"):
+        got = html_text.main_text(f"<body><div><p>Before.</p>{around.format(row, row)}<p>After.</p></div>")
+        assert got == " ".join(["Before.", *(row + row).split(), "After."])
+
+
 def test_license():
     automata = license_scan.compiled(license_scan.BASE, license_scan.TEMPLATES)
     n, base, first, last, labels, *_ = license_scan.scan_text(b"Released under the MIT License. Also Apache License, Version 2.0; under the mit-license", automata)

@@ -3,7 +3,8 @@
 A page is read once into blocks: runs of text between block tags, each with the path of tags from the
 root to it. For every path the ratio of its text to its number of blocks, and the punctuation in them,
 are aggregated over the page, smoothed over neighbouring blocks in page order and fused into one score.
-Paths above a threshold that the page's own scores set hold content. The smallest element that holds all
+Paths above a threshold that the page's own scores set hold content. Class and id words that name other
+parts of a page are one more term of the score. The smallest element that holds all
 content is the article, or the article, main or other element around it that directly holds headings or
 paragraphs beside it; everything in it that is not marked up as something else is its text.
 """
@@ -28,12 +29,20 @@ _CLOSES_P = frozenset("address article aside blockquote center details dialog di
 _SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 _LIMITS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "thead": {"table"}, "tbody": {"table"}, "tfoot": {"table"}}
 
+#: The term of the score for paths in elements whose class or id names another part of a page.
+NAMED = 0.5
+
 # Elements, roles and class or id words that mark what is not the article.
 _NOT_TEXT = frozenset("nav footer aside form button dialog menu head".split())
 _NOT_ROLE = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar".split())
 _NOT_WORD = frozenset(
     "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead topbar footer bottombar sidebar aside rail widget widgets ad ads advert adverts advertisement advertising adsbygoogle sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments disqus respond reply replies pagination pager toc skip copyright legal".split()
 )
+# Words that say no more about what such a word marks, words of answers, words of an article's own header.
+_NEUTRAL = frozenset("area bar block bottom box button buttons container content entry form group icon icons inner item items js left link links list main page post posts right section site text title top user wrap wrapper".split())
+_ANSWERS = frozenset("comment comments disqus respond reply replies".split())
+_OWN = frozenset("article content entry page post section story title".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _ARTICLE = frozenset("article main".split())
 _CONTAINER = frozenset("html body article main div section center td th form fieldset".split())
 _PART = frozenset("h1 h2 h3 h4 h5 h6 hgroup p section article blockquote pre table dl figure details".split())
@@ -57,25 +66,51 @@ def _unwanted(tag: str, attributes: str, in_article: bool) -> bool:
             return True
         if name == "role" and value.strip() in _NOT_ROLE:
             return True
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and not _NOT_WORD.isdisjoint(_WORD.findall(value)):
-            return True
     return False
 
 
+def _level(tag: str, attributes: str, in_article: bool) -> int:
+    """What class and id words say: 1 a listed word among others, 2 a name of another part, 3 of answers, else 0."""
+    level = 0
+    if not attributes or tag in ("html", "body", "article", "main"):
+        return level
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
+        if name.lower() not in ("class", "id"):
+            continue
+        for token in (a or b or c).lower().split():
+            words = set(_WORD.findall(token))
+            listed = words & _NOT_WORD
+            if in_article or tag in _HEADINGS or words & _OWN:
+                listed.discard("header")
+            if not listed:
+                continue
+            if words <= listed | _NEUTRAL:
+                level = max(level, 3 if listed & _ANSWERS and tag not in _HEADINGS and tag != "p" else 2)
+            elif tag not in _INLINE:
+                level = max(level, 1)
+    return level
+
+
 class _Open:
-    __slots__ = ("article", "key", "path", "tag", "unwanted")
+    __slots__ = ("article", "key", "marks", "path", "tag", "unwanted")
 
-    def __init__(self, tag: str, path: tuple, key: tuple, unwanted: bool, article: bool):
-        self.tag, self.path, self.key, self.unwanted, self.article = tag, path, key, unwanted, article
+    def __init__(self, tag: str, path: tuple, key: tuple, unwanted: bool, article: bool, marks: tuple = ()):
+        self.tag, self.path, self.key, self.unwanted, self.article, self.marks = tag, path, key, unwanted, article, marks
 
 
 class Text:
-    """A block: its text, tag path, the elements around it (numbered) and whether markup excludes it."""
+    """A block: its text, tag path, the elements around it (numbered), whether markup excludes it and which
+    of those elements have words of other parts (element, level, within an article)."""
 
-    __slots__ = ("inside", "path", "text", "unwanted")
+    __slots__ = ("inside", "marks", "path", "text", "unwanted")
 
     def __init__(self, text: str, at: _Open):
-        self.text, self.path, self.inside, self.unwanted = text, at.path, at.key, at.unwanted
+        self.text, self.path, self.inside, self.unwanted, self.marks = text, at.path, at.key, at.unwanted, at.marks
+
+    @property
+    def kind(self) -> tuple:
+        """The path, apart for text in elements named as other parts."""
+        return (*self.path, "*") if any(level > 1 for _, level, _ in self.marks) else self.path
 
 
 def text_blocks(page: str) -> list[Text]:
@@ -84,6 +119,7 @@ def text_blocks(page: str) -> list[Text]:
     out: list[Text] = []
     parts: list[str] = []
     holder: list[_Open] = []
+    around: list[tuple] = []
     count = 0
 
     def flush() -> None:
@@ -98,13 +134,14 @@ def text_blocks(page: str) -> list[Text]:
         if text:
             if not parts:
                 top = len(stack) - 1
-                while top and stack[top].tag in _INLINE and not stack[top].unwanted:
+                while top and stack[top].tag in _INLINE and not stack[top].unwanted and not stack[top].marks:
                     top -= 1
                 holder.append(stack[top])
             parts.append(text)
 
     def close_to(level: int) -> None:
-        if any(e.tag not in _INLINE for e in stack[level:]):
+        below = stack[level - 1]
+        if any(e.tag not in _INLINE or e.unwanted != below.unwanted or e.marks != below.marks for e in stack[level:]):
             flush()
         del stack[level:]
 
@@ -164,11 +201,20 @@ def text_blocks(page: str) -> list[Text]:
         count += 1
         article = up.article or tag in _ARTICLE
         unwanted = up.unwanted or _unwanted(tag, found[3], up.article)
-        if unwanted != up.unwanted:
+        level = 0 if unwanted else _level(tag, found[3], up.article)
+        if unwanted != up.unwanted or level:
             flush()
-        path, key = ((up.path, up.key) if tag in _INLINE and not unwanted else ((*up.path, tag), (*up.key, count)))
-        stack.append(_Open(tag, path, key, unwanted, article))
+        path, key = ((up.path, up.key) if tag in _INLINE and not unwanted and not level else ((*up.path, tag), (*up.key, count)))
+        stack.append(_Open(tag, path, key, unwanted, article, (*up.marks, (count, level, up.article)) if level else up.marks))
+        if tag in _ARTICLE and not unwanted:
+            around.append(stack[-1].marks)
     flush()
+    # words say nothing against the elements around the article
+    few = min(map(len, around), default=0)
+    freed = {m for marks in around if len(marks) == few for m in marks if m[1] < 3}
+    if freed:
+        for b in out:
+            b.marks = tuple(m for m in b.marks if m not in freed)
     return out
 
 
@@ -178,11 +224,11 @@ def content_paths(blocks: list[Text], width: int = 1) -> set[tuple]:
     marks: dict[tuple, int] = defaultdict(int)
     count: dict[tuple, int] = defaultdict(int)
     for b in blocks:
-        length[b.path] += len(b.text)
-        marks[b.path] += len(_PUNCTUATION.findall(b.text))
-        count[b.path] += 1
-    ratio = [length[b.path] / count[b.path] for b in blocks]
-    dots = [marks[b.path] / count[b.path] for b in blocks]
+        length[b.kind] += len(b.text)
+        marks[b.kind] += len(_PUNCTUATION.findall(b.text))
+        count[b.kind] += 1
+    ratio = [length[b.kind] / count[b.kind] for b in blocks]
+    dots = [marks[b.kind] / count[b.kind] for b in blocks]
     kernel = [0.25, 0.5, 0.25] if width else [1.0]
     reach = len(kernel) // 2
 
@@ -190,12 +236,14 @@ def content_paths(blocks: list[Text], width: int = 1) -> set[tuple]:
         n = len(values)
         return [sum(w * values[min(n - 1, max(0, i + k - reach))] for k, w in enumerate(kernel)) for i in range(n)]
 
+    # the score of a path named as another part counts for less
+    term = [1.0 if b.kind is b.path else NAMED for b in blocks]
     fused = [r * (1 + d) for r, d in zip(smooth(ratio), smooth(dots), strict=True)]
     mean = sum(fused) / len(fused)
     spread = (sum((f - mean) ** 2 for f in fused) / len(fused)) ** 0.5
     best: dict[tuple, float] = defaultdict(float)
-    for b, f in zip(blocks, fused, strict=True):
-        best[b.path] += f / count[b.path]
+    for b, f, t in zip(blocks, fused, term, strict=True):
+        best[b.kind] += t * f / count[b.kind]
     return {p for p, s in best.items() if s >= min(spread, mean)} or set(best)
 
 
@@ -222,13 +270,41 @@ def _article(content: list[Text], blocks: list[Text]) -> tuple:
     return key[: min([size, *beside])]
 
 
+def _unmarked(blocks: list[Text]) -> list[Text]:
+    """The blocks without those of other parts, as their words say and their paths do not deny.
+
+    Elements that hold most of the content are no other part. What is named as another part outside the
+    article is one; within it, and for a listed word among others, the path decides.
+    """
+    if not any(b.marks for b in blocks):
+        return blocks
+    paths = {p[:-1] if p and p[-1] == "*" else p for p in content_paths(blocks)}
+    whole = sum(len(b.text) for b in blocks if b.path in paths)
+    weight: dict[tuple, int] = defaultdict(int)
+    for b in blocks:
+        if b.path in paths:
+            for m in b.marks:
+                weight[m] += len(b.text)
+    beside = any(tag in _ARTICLE for b in blocks for tag in b.path)
+    for b in blocks:
+        b.marks = tuple(m for m in b.marks if m[1] == 3 or 2 * weight[m] <= whole or (m[1] == 2 and beside and not m[2]))
+    left = [b for b in blocks if not any(level == 3 or (level == 2 and not inner) for _, level, inner in b.marks)]
+    if not left:
+        return left
+    paths = content_paths(left)
+    return [b for b in left if not b.marks or b.kind in paths]
+
+
 def main_text(page: str | None) -> str:
     """The article of a page: blocks in page order, one space between them; empty if there is none."""
     blocks = [b for b in text_blocks(page or "") if not b.unwanted]
+    if not blocks:
+        return ""
+    blocks = _unmarked(blocks)
     if not blocks:
         return ""
     paths = content_paths(blocks)
-    content = [b for b in blocks if b.path in paths]
+    content = [b for b in blocks if b.kind in paths]
     article = _article(content, blocks)
     return " ".join(b.text for b in blocks if b.inside[: len(article)] == article)
 

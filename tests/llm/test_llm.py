@@ -137,6 +137,24 @@ def test_html_keeps_what_stands_beside_the_largest_part():
         assert got == " ".join(["Before.", *(row + row).split(), "After."])
 
 
+def test_html_words_do_not_outweigh_the_text():
+    texts = [f"Paragraph {i}, which has enough words, and signs, to be a part of the article." for i in range(6)]
+    body, whole = "".join(f"<p>{t}</p>" for t in texts), " ".join(texts)
+    for name in ("site has-sidebar", "content with-sidebar", "content sidebar"):
+        assert html_text.main_text(f"<body><div class='{name}'><nav>Menu</nav><article><h1>Title</h1>{body}</article></div>") == f"Title {whole}"
+        assert html_text.main_text(f"<body><div class='{name}'><nav>Menu</nav><h1>Title</h1>{body}</div>") == f"Title {whole}"
+    for head in ("<header class='entry-header'><h1>Title</h1></header>", "<h1 class='post-header'>Title</h1>", "<div class='header'><h1>Title</h1></div>"):
+        assert html_text.main_text(f"<body><article>{head}{body}</article>") == f"Title {whole}"
+    more = "The rules on this, which are long, fill a whole paragraph of the article."
+    for part in (f"<section id='legal'><p>{more}</p></section>", f"<div class='share-of-market'>{more}</div>", f"<p class='notice-period'>{more}</p>"):
+        assert html_text.main_text(f"<body><article><h1>Title</h1>{body}{part}</article>") == f"Title {whole} {more}"
+    others = "<div class='share-buttons'>Share</div><div id=comments><p>Nice post, I liked it a lot, and will read it again, really.</p></div>"
+    aside = "<div class='sidebar'><p>Words on the author, who has written a lot of texts, in many places.</p></div>"
+    assert html_text.main_text(f"<body>{aside}<article><h1>Title</h1>{body}{others}</article>") == f"Title {whole}"
+    assert html_text.main_text(f"<body>{aside}<div><h1>Title</h1>{body}{others}</div>") == f"Title {whole}"
+    assert html_text.main_text("<body><p>One, <span class=ad>Buy!</span> two.</p>") == "One, two."
+
+
 def test_license():
     automata = license_scan.compiled(license_scan.BASE, license_scan.TEMPLATES)
     n, base, first, last, labels, *_ = license_scan.scan_text(b"Released under the MIT License. Also Apache License, Version 2.0; under the mit-license", automata)

@@ -1,7 +1,7 @@
 """Secrets in texts: candidates by shape, false positives removed by a random forest.
 
-A candidate is a long word part of letters, digits and a few signs that holds a digit. It is described by
-its length, the transitions between kinds of characters, how much of it common words cover, whether it
+A candidate is a value beside a naming word or an assignment, of any length and with any signs, or a long
+word or word part without such a neighbour. It is described by its length, the transitions between kinds of characters, how much of it common words cover, whether it
 looks like a path, and the words beside it. A random forest (Spark ML, trained on labelled findings)
 tells secrets from identifiers, addresses and numbers. All of it are DataFrame functions.
 """
@@ -26,6 +26,12 @@ DICTIONARY = (
 ).split()
 # Words that name a secret.
 NAMING = "(?i)(secret|token|api_?key|access_?key|private_?key|passw(or)?d|pwd|auth|bearer|credential|signature)"
+# A value within a word, up to its closing quote, the next assignment or the end of the word.
+_INNER = (
+    "(?:[=:]>?|" + NAMING.replace("(?i)", "(?i:").replace("(or)?", "(?:or)?").replace("(secret", "(?:secret") + ")[\"'`]?[>|,(])[\"'`\\[({]{0,4}"
+    "([^=:\"'`\\[({].*?)(?=[\"'`]|</|[,;&?][\"'`]?[A-Za-z_][A-Za-z0-9_.-]{0,64}[\"'`]?[=:]|[\\])},;.]{0,8}$)"
+)
+_EDGES = "^[\"'`<\\[({]+|[\"'`>\\])},;.:]+$"
 
 FEATURES = [
     "length", "digits", "uppers", "lowers", "hexes", "signs", "runs_per_char", "distinct_per_char", "longest_letters", "covered", "slashes", "dots", "is_mail", "is_number", "named_before", "named_within", "assigned", "quoted", "word_before_length", "word_after_length",
@@ -35,17 +41,28 @@ FEATURES = [
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, word, part, finding, before, whole, after): one row per candidate, from the whole text."""
     words = F.array_remove(F.split(F.coalesce(F.col(text_col), F.lit("")), "[ \\t\\n\\x0B\\f\\r]+"), "")
-    shape = "[A-Za-z0-9+/_=.@-]{16,}"
     base = docs.select(F.col(id_col).alias("doc_id"), words.alias("w"))
-    places = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: (F.length(F.get("w", i)) >= LEAST) & F.get("w", i).rlike("[0-9]"))
-    some = base.where(F.size("w") > 0).withColumn("i", F.explode(places))
-    word = F.get("w", F.col("i"))
+    at = lambda i: F.coalesce(F.get("w", i), F.lit(""))
+    # named: the word beside it names a secret, or the one before assigns, or a name stands two words before
+    naming = F.transform("w", lambda w: w.rlike(NAMING))
+    marked = base.where(F.size("w") > 0).withColumn("names", naming).withColumn("signs", F.transform("w", lambda w: w.rlike("[=:]")))
+    name = lambda i: F.coalesce(F.get("names", i), F.lit(False))
+    beside = lambda i: name(i - 1) | name(i - 2) | name(i + 1) | at(i - 1).rlike("[=:]>?$")
+    places = F.filter(F.sequence(F.lit(0), F.size("w") - 1), lambda i: (F.length(F.get("w", i)) >= LEAST) | name(i) | F.get("signs", i) | beside(i))
+    some = marked.withColumn("i", F.explode(places))
+    i = F.col("i")
     near = some.select(
-        "doc_id", F.col("i").cast("bigint").alias("word"), word.alias("whole"),
-        F.concat_ws(" ", F.get("w", F.col("i") - 2), F.get("w", F.col("i") - 1)).alias("before"), F.coalesce(F.get("w", F.col("i") + 1), F.lit("")).alias("after"),
+        "doc_id", i.cast("bigint").alias("word"), F.get("w", i).alias("whole"), beside(i).alias("beside"),
+        F.concat_ws(" ", F.get("w", i - 2), F.get("w", i - 1)).alias("before"), at(i + 1).alias("after"),
     )
-    parts = F.regexp_extract_all("whole", F.lit(f"({shape})"), 1)
-    return near.select("doc_id", "word", "whole", "before", "after", F.posexplode(parts).alias("part", "finding")).where(F.col("finding").rlike("[0-9]"))
+    quoted = F.regexp_extract("whole", "^([\"'`])(.+?)\\1", 2)
+    bare = F.when(quoted != "", quoted).otherwise(F.regexp_replace("whole", _EDGES, ""))
+    lone = F.when(F.length(bare) >= LEAST, F.array(bare)).otherwise(F.array().cast("array<string>"))
+    value = F.when(F.col("beside"), F.array(bare)).otherwise(F.array().cast("array<string>"))
+    parts = F.array_distinct(F.concat(F.regexp_extract_all("whole", F.lit("([A-Za-z0-9+/_=.@-]{16,})"), 1), value, lone, F.regexp_extract_all("whole", F.lit(_INNER), 1)))
+    # signs alone, as in rules and arrows, are a value only where one is expected
+    told = F.filter(parts, lambda p: p.rlike("[\\p{L}\\p{N}]") | (F.col("beside") & p.rlike("[^=:>|<.-]")))
+    return near.select("doc_id", "word", "whole", "before", "after", F.posexplode(told).alias("part", "finding"))
 
 
 def described(found: DataFrame) -> DataFrame:
@@ -75,10 +92,13 @@ def described(found: DataFrame) -> DataFrame:
 
 def weak_labels(rows: DataFrame) -> DataFrame:
     """Findings that need no expert: 1 for random-looking values that are named and assigned as secrets,
-    0 for mail addresses, plain numbers, host names and values made of common words. Others stay open."""
-    random = (F.col("digits") > 0.15) & (F.col("is_number") == 0) & (F.col("is_mail") == 0) & (F.col("runs_per_char") > 0.25)
+    0 for mail addresses, plain numbers, host names, short plain words and values made of common words.
+    Others stay open."""
+    mixed = (F.col("uppers") > 0) & (F.col("lowers") > 0) & (F.col("runs_per_char") > 0.35) & (F.col("covered") < 0.3) & (F.col("length") >= 8)
+    random = ((F.col("digits") > 0.15) | mixed) & (F.col("is_number") == 0) & (F.col("is_mail") == 0) & (F.col("runs_per_char") > 0.25)
     secret = random & (F.col("named_before") + F.col("named_within") > 0) & (F.col("assigned") == 1)
-    plain = (F.col("is_mail") == 1) | (F.col("is_number") == 1) | (F.col("covered") > 0.5) | ((F.col("dots") > 1) & (F.col("named_before") == 0))
+    word = F.col("finding").rlike("^\\p{L}[\\p{Ll}\\p{Lo}\\p{M}'-]*$") & (F.col("length") < LEAST)
+    plain = word | (F.col("is_mail") == 1) | (F.col("is_number") == 1) | (F.col("covered") > 0.5) | ((F.col("dots") > 1) & (F.col("named_before") == 0))
     return rows.withColumn("secret", F.when(secret, 1.0).when(plain, 0.0)).where("secret is not null")
 
 
@@ -97,7 +117,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_
 
     ``labelled`` has described findings (see :func:`described`) with a column ``secret`` (1 or 0); without
     it the findings that :func:`weak_labels` settles are used. Returns doc_id, word (its place in the
-    text), part (its place in the word), finding (first and last four characters), finding_hash, the
+    text), part (its place in the word), finding (first and last four characters, fewer of one below 16), finding_hash, the
     features, probability and is_secret.
 
     Null, empty and blank texts have no candidates. Where the labelled findings hold only one class, all
@@ -108,7 +128,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_
     rows = materialize(described(candidates(docs, id_col, text_col)), "candidates")
     known = weak_labels(rows) if labelled is None else labelled
     forest = fitted(known)
-    masked = F.concat(F.substring("finding", 1, 4), F.lit("..."), F.substring("finding", -4, 4))
+    shown = F.least(F.lit(4), F.floor(F.length("finding") / 4).cast("int"))
+    masked = F.concat(F.left("finding", shown), F.lit("..."), F.right("finding", shown))
     if forest is None:
         sure = known.agg(F.coalesce(F.max("secret"), F.lit(1.0))).first()[0]
         told = rows.withColumn("p", F.lit(float(sure)))

@@ -103,13 +103,21 @@ def weak_labels(rows: DataFrame) -> DataFrame:
 
 
 def fitted(labelled: DataFrame, trees: int = 20, depth: int = 6, seed: int = 1, most: int = TRAINING_ROWS) -> RandomForestClassificationModel | None:
-    """The forest, or None where the findings show only one class. Fitted on ``most`` findings, by hash."""
-    chosen = labelled.select("secret", *FEATURES, F.xxhash64(F.lit(seed), "doc_id", "word", "part", "finding").alias("h")).orderBy("h").limit(most)
-    chosen = materialize(chosen.drop("h"), "findings")
-    if chosen.select("secret").distinct().count() < 2:
+    """The forest, or None where the findings show only one class. Fitted on ``most`` findings, by hash.
+
+    Each class gets half of them, or more where the other has fewer; a finding weighs as many as it stands for.
+    """
+    counts = {k: n for k, n in labelled.where("secret is not null").groupBy("secret").agg(F.count("*")).collect()}
+    if len(counts) < 2:
         return None
+    rows = labelled.select("secret", *FEATURES, F.xxhash64(F.lit(seed), "doc_id", "word", "part", "finding").alias("h"))
+    drawn = []
+    for k, n in counts.items():
+        take = min(n, max(most // 2, most - (sum(counts.values()) - n)))
+        drawn.append(rows.where(F.col("secret") == k).orderBy("h", *FEATURES).limit(take).withColumn("weight", F.lit(n / take)))
+    chosen = materialize(drawn[0].union(drawn[1]).drop("h"), "findings")
     rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(chosen)
-    return RandomForestClassifier(labelCol="secret", featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed).fit(rows)
+    return RandomForestClassifier(labelCol="secret", featuresCol="features", weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed).fit(rows)
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", at_least: float = 0.5) -> DataFrame:

@@ -259,6 +259,22 @@ def test_secrets_short_without_digits_or_with_signs(spark):
     assert all(told[h].finding == f"{k[:2]}...{k[-2:]}" for h, k in hashes.items() if h in told)
 
 
+def test_rare_secrets_are_not_lost_in_the_sample(spark):
+    from pyspark.sql import functions as F
+
+    hexes = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(3)]
+    rows = [*((i, f'{_prose(3, i)} token = "{h}"') for i, h in enumerate(hexes)), *((i, f"{_prose(3, i)} user.{i}@mail.example.com and {i:04}567812345678") for i in range(3, 600))]
+    found = secret_scan.described(secret_scan.candidates(spark.createDataFrame(rows, "doc_id bigint, text string")))
+    known = secret_scan.weak_labels(found)
+    forest = secret_scan.fitted(known, most=20)
+    assert forest is not None
+    from pyspark.ml.feature import VectorAssembler
+
+    told = forest.transform(VectorAssembler(inputCols=secret_scan.FEATURES, outputCol="features").transform(known))
+    assert {r.finding for r in told.where(F.col("prediction") == 1).collect()} == set(hexes)
+    assert secret_scan.fitted(known.where("secret = 0"), most=20) is None
+
+
 def test_empty_tables(spark, empty):
     assert substring_dedup.drop_repeated_windows(empty).count() == 0
     assert suffix_dedup.drop_repeated_bytes(empty).count() == 0

@@ -1,11 +1,12 @@
 """A training corpus from the documents table, stage by stage.
 
 Each stage reads all that its predecessor kept, which was written as Parquet. All but the last return the
-columns of documents.
+columns of documents. Verdicts are joined by a row key, never by id: ids may be null or repeated.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,29 +14,46 @@ from tariffscope.llm import decontaminate, jaccard_join, mixing, quality_rules,
 from tariffscope.session import materialize
 
 
-def _chosen(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """The documents whose id is (or is not) among ``ids``; a null id is an id like others."""
-    named = ids.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(named, docs["doc_id"].eqNullSafe(named["_id"]), how)
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The documents with ``_row``, a unique key: ids may be null or repeated. Its place in its Parquet file, or else written down."""
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_at"))
+    except AnalysisException:
+        return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    paths = sorted(r[0] for r in placed.select("_path").distinct().collect())
+    numbers = docs.sparkSession.createDataFrame(list(enumerate(paths)), "_file bigint, _path string")
+    row = F.shiftleft("_file", 40) + F.col("_at")
+    return placed.join(F.broadcast(numbers), "_path").select(*docs.columns, row.alias("_row"))
+
+
+def _chosen(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """The keyed documents whose ``_row`` is (or is not) among ``rows``, without the key."""
+    return docs.join(rows.select("_row").distinct(), "_row", how).drop("_row")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    told = materialize(quality_rules.judged(docs, labels).select("doc_id", "kept"), "verdicts")
+    docs = _keyed(docs)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(F.col("quality").isin(0, 1))
+    known = docs.select("_row", "doc_id").join(labels.groupBy("doc_id").agg(F.min("quality").alias("quality")), "doc_id")
+    told = materialize(quality_rules.judged(docs, known, id_col="_row").select(F.col("doc_id").alias("_row"), "kept"), "verdicts")
     return _chosen(docs, told.where("not kept"), "left_anti")
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates: the one with the smallest id."""
-    classes = materialize(jaccard_join.near_duplicates(docs).select("doc_id", "component_id"), "classes")
-    return _chosen(docs, classes.where("doc_id <> component_id"), "left_anti")
+    """One document of each class of near duplicates: the one with the smallest id, the first of those with equal ids."""
+    docs = _keyed(docs)
+    found = jaccard_join.near_duplicates(docs, id_col="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    ids = materialize(found, "classes").join(docs.select("_row", "doc_id"), "_row")
+    first = ids.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first"))
+    return _chosen(docs, materialize(first.select("first._row"), "firsts"), "left_semi")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
-    leaks = decontaminate.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _chosen(docs, materialize(leaks.select("doc_id"), "leaks"), "left_anti")
+    docs = _keyed(docs)
+    leaks = decontaminate.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_row")
+    return _chosen(docs, materialize(leaks.select(F.col("doc_id").alias("_row")), "leaks"), "left_anti")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +62,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Those of cells below their share all stay; only cells above it are thinned out.
     """
     dimensions = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic_of(F.col("text"))}
-    told = materialize(mixing.mix(docs, dimensions=dimensions, full_weight=1.0).select("doc_id", "sampled"), "choices")
+    docs = _keyed(docs)
+    told = mixing.mix(docs, id_col="_row", dimensions=dimensions, full_weight=1.0, luck_col="doc_id")
+    told = materialize(told.select(F.col("doc_id").alias("_row"), "sampled"), "choices")
     return _chosen(docs, told.where("sampled"), "left_semi")
 
 

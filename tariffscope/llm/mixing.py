@@ -80,13 +80,14 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", dimensions: dict[str, Column] | None = None,
     targets: dict[str, DataFrame] | None = None, seed: int = 1, rounds: int = ROUNDS,
-    full_weight: float | None = None,
+    full_weight: float | None = None, luck_col: str | None = None,
 ) -> DataFrame:
     """Weight, probability and choice of every document.
 
     ``dimensions`` names the marginals and how they are read from a row; ``targets`` has a table (value,
     share) for each, by default natural shares raised to the power 0.7. Returns doc_id, the dimensions,
-    tokens (words), weight, probability and sampled. The choice depends on the document and the seed only.
+    tokens (words), weight, probability and sampled. The choice depends on the document and the seed only:
+    on its text and its id, or ``luck_col`` where the id is a mere row key.
 
     ``full_weight`` is the weight from which on a document is kept for sure; by default the largest one, so
     that expected tokens have the target shares exactly, however few documents that leaves. A smaller one
@@ -101,7 +102,7 @@ def mix(
     named = {d: F.coalesce(c.cast("string"), F.lit("")) for d, c in (dimensions or {d: F.col(d) for d in DIMENSIONS}).items()}
     text = F.coalesce(F.col(text_col), F.lit(""))
     words = F.size(F.array_remove(F.split(text, "[ \\t\\n\\x0B\\f\\r]+"), ""))
-    luck = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), text), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    luck = F.pmod(F.xxhash64(F.lit(seed), F.col(luck_col or id_col), text), F.lit(1 << 52)) / F.lit(float(1 << 52))
     rows = materialize(docs.select(F.col(id_col).alias("doc_id"), *(c.alias(d) for d, c in named.items()), words.cast("bigint").alias("tokens"), luck.alias("luck")), "tokens")
     keys = list(named)
     cells = materialize(rows.groupBy(*keys).agg(F.sum("tokens").alias("tokens")), "cells")

@@ -57,3 +57,27 @@ def test_each_stage_decides_as_brute_force(spark, tmp_path):
     counts = Counter(r.shard for r in got)
     assert max(counts.values()) - min(counts.get(s, 0) for s in range(24)) <= 1
     assert all(sorted(r.slot for r in got if r.shard == s) == list(range(n)) for s, n in counts.items())
+
+
+def test_repeated_rows_and_null_ids(spark, tmp_path):
+    passage = _prose(60, 900)
+    a, b, c, d, e, f = (_prose(70, i) for i in range(100, 106))
+    rows = [(1, a), (1, a), (None, b), (None, b), (None, "too short"), (None, c), (2, d), (2, "too short"), (2, f"{e} {passage}"), (None, passage), (3, b), (None, f), (2, f)]
+    docs = spark.createDataFrame([(i, t, "en", "web", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0), (1, 0, 0)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, passage)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    now = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    told = []
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        stage(spark, now, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        now = spark.read.parquet(f"{tmp_path}/{name}")
+        assert now.columns == docs.columns
+        told.append(Counter((r.doc_id, r.text) for r in now.collect()))
+    good = Counter(r for r in rows if r[1] != "too short")
+    assert told[0] == good
+    assert told[1] == Counter({r: 1 for r in good if r not in ((None, b), (None, f))})
+    assert told[2] == Counter([(1, a), (3, b), (None, c), (2, d), (2, f)])
+    assert corpus_pipeline.quality(spark, docs, str(tmp_path)).count() == sum(good.values())
+    got = Counter(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    assert 0 < sum(got.values()) <= 5 and all(n <= Counter([1, 3, None, 2, 2])[i] for i, n in got.items())

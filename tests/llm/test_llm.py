@@ -231,6 +231,24 @@ def test_shards_are_even_and_keep_copies_together(spark):
     assert sum(len(h) == 1 for h in homes.values()) >= 35
 
 
+@pytest.mark.parametrize("kind", ["twos", "tens", "a third"])
+def test_shards_keep_groups_whole_when_most_rows_are_linked(spark, kind):
+    n = 4800
+    size = {"twos": 2, "tens": 10, "a third": 2}[kind]
+    big, linked = (n // 3, 1440) if kind == "a third" else (0, n * 9 // 10)
+    texts = ["big"] * big + [f"group {i // size}" for i in range(linked)]
+    texts += [f"alone {i}" for i in range(n - len(texts))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = sharding.shard(docs).collect()
+    assert len(got) == n and set(Counter(r.shard for r in got).values()) == {n // 24}
+    assert len({(r.shard, r.slot) for r in got}) == n and max(r.slot for r in got) == n // 24 - 1
+    homes = {}
+    for r in got:
+        homes.setdefault(texts[r.doc_id], set()).add(r.shard)
+    assert not [t for t, h in homes.items() if t != "big" and len(h) > 1]
+    assert len(homes.get("big", ())) <= 12
+
+
 def test_secrets(spark):
     hexes = [hashlib.sha1(str(i).encode()).hexdigest() for i in range(60)]
     rows = [(i, f'{_prose(6, i)} token = "{h}" {_prose(4, i)} user.{i}@mail.example.com and {i:04}567812345678') for i, h in enumerate(hexes)]

@@ -175,7 +175,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Texts are lower-cased in A-Z; words are runs of anything but blanks and code points 9 to 13. A set
     holds the distinct runs of ``shingle`` words; a shorter text is one shingle. Returns doc_id,
-    n_shingles, component_id (the smallest doc_id reachable by links, itself included), n_links (verified
+    n_shingles, component_id (the smallest doc_id reachable by links, itself included), n_spanning_links (verified
     links of the document's node that were needed to tie the classes), n_copies (documents with an equal set).
 
     Null, empty and blank texts have no shingles and are linked with nothing. A null id is never the
@@ -202,10 +202,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     links = _links(packed, nodes, size, shingle)
     roots = materialize(components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))), "roots")
-    degree = links.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    degree = links.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(F.count("*").alias("n_spanning_links"))
     known = nodes.join(roots, "node", "left").join(degree, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = known.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = known.join(least, "root").select("set_key", "component_id", "copies", F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"))
+    classes = known.join(least, "root").select("set_key", "component_id", "copies", F.coalesce("n_spanning_links", F.lit(0).cast("bigint")).alias("n_spanning_links"))
     # the node of an empty text is in no class
     found = rows.join(classes, "set_key", "left")
     empty = F.col("n") == 0
@@ -213,7 +213,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.when(empty, F.lit(0).cast("bigint")).otherwise(F.col("n_links")).alias("n_links"),
+        F.when(empty, F.lit(0).cast("bigint")).otherwise(F.col("n_spanning_links")).alias("n_spanning_links"),
         F.when(empty, F.lit(1).cast("bigint")).otherwise(F.col("copies")).alias("n_copies"),
     )
 

@@ -87,6 +87,11 @@ def test_near_duplicates(docs):
     assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == {i: (len(sets[i]), root[i]) for i in sets}
 
 
+def test_links_are_named_as_a_spanning_count(spark):
+    docs = spark.createDataFrame([], "doc_id bigint, text string")
+    assert jaccard_join.near_duplicates(docs).columns == ["doc_id", "n_shingles", "component_id", "n_spanning_links", "n_copies"]
+
+
 def test_bitmaps_never_differ_more_than_the_sets():
     texts = [t.encode() for t in _texts() if t is not None]
     texts += [" ".join(_prose(n, 9).split()[k:]).encode() for n in (8, 30, 120) for k in (0, 1, 5)]

@@ -13,6 +13,7 @@ from tariffscope.llm import (
     jaccard_join,
     license_scan,
     mixing,
+    piece_codec,
     quality_rules,
     secret_scan,
     sharding,
@@ -25,6 +26,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _vocabulary(name: str) -> str:
+    """Place of a public vocabulary file; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -69,10 +77,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = piece_codec.encode(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "as_library",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_decontaminate, op2_jaccard_join, op3_substring_dedup, op4_suffix_dedup, op5_html_text,
-        op6_license_scan, op7_quality_rules, op8_mixing, op9_sharding, op10_secret_scan,
+        op6_license_scan, op7_quality_rules, op8_mixing, op9_sharding, op10_secret_scan, op13_sentencepiece,
     )
     return {f.__name__: f for f in own}
 

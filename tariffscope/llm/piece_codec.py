@@ -17,7 +17,7 @@ from __future__ import annotations
 import functools
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain, groupby
 
 import numpy as np
@@ -66,6 +66,37 @@ def _fields(body: bytes) -> Iterator[tuple[int, int | bytes]]:
         yield tag >> 3, value
 
 
+class Memory:
+    """Ids of chunks met before, so that a chunk is encoded once; holds CACHED_CHUNKS twice and some at most."""
+
+    def __init__(self, encode: Callable[[list[str]], list[tuple[int, ...]]]):
+        self._encode = encode
+        self._recent: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
+
+    def all(self, chunks: Iterable[str]) -> dict[str, tuple[int, ...]]:
+        known = dict.fromkeys(chunks)
+        recent, older = self._recent, self._older
+        new = []
+        for chunk in known:
+            ids = recent.get(chunk)
+            if ids is None:
+                ids = older.get(chunk)
+                if ids is None:
+                    new.append(chunk)
+                    continue
+                recent[chunk] = ids
+            known[chunk] = ids
+        for chunk, ids in zip(new, self._encode(new), strict=True):
+            known[chunk] = ids
+            if len(chunk) <= SHORT:
+                recent[chunk] = ids
+        if len(recent) > CACHED_CHUNKS:
+            # what was not met since the last change goes
+            self._recent, self._older = {}, recent
+        return known
+
+
 class Codec:
     """Encoder and decoder over one vocabulary file."""
 
@@ -92,8 +123,7 @@ class Codec:
         self.control = frozenset(i for i in ids if sp.is_control(i))
         #: Ids whose first space is text and no mark.
         self._literal = special
-        self._recent: dict[str, tuple[int, ...]] = {}
-        self._older: dict[str, tuple[int, ...]] = {}
+        self.memory = Memory(self.merge)
         self._pairs()
 
     def _accept(self, model: bytes) -> bytes:
@@ -255,26 +285,7 @@ class Codec:
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text; each distinct chunk of the texts is merged once and remembered for the next call."""
         cut = [_CHUNK.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        known = dict.fromkeys(chain.from_iterable(cut))
-        recent, older = self._recent, self._older
-        new = []
-        for chunk in known:
-            ids = recent.get(chunk)
-            if ids is None:
-                ids = older.get(chunk)
-                if ids is None:
-                    new.append(chunk)
-                    continue
-                recent[chunk] = ids
-            known[chunk] = ids
-        for chunk, ids in zip(new, self.merge(new), strict=True):
-            known[chunk] = ids
-            if len(chunk) <= SHORT:
-                recent[chunk] = ids
-        if len(recent) > CACHED_CHUNKS:
-            # what was not met since the last change goes
-            self._recent, self._older = {}, recent
-        get = known.__getitem__
+        get = self.memory.all(chain.from_iterable(cut)).__getitem__
         return [list(chain.from_iterable(map(get, c))) for c in cut]
 
     def decode(self, ids: list[int]) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tariffscope.llm import (
+    chat_repair,
     decontaminate,
     html_text,
     jaccard_join,
@@ -78,6 +79,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_table(spark, sf_dir, "documents"))
 
 
+def op11_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repaired(chat_repair.damaged(_table(spark, sf_dir, "conversations")))
+
+
 def op12_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return token_links.token_links(docs, _vocabulary("byte_bpe_50k.json"), _vocabulary("piece_bpe_32k.model"), with_groups=False)
@@ -97,7 +102,8 @@ def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_decontaminate, op2_jaccard_join, op3_substring_dedup, op4_suffix_dedup, op5_html_text,
-        op6_license_scan, op7_quality_rules, op8_mixing, op9_sharding, op10_secret_scan, op12_token_links, op13_sentencepiece,
+        op6_license_scan, op7_quality_rules, op8_mixing, op9_sharding, op10_secret_scan, op11_chat_repair,
+        op12_token_links, op13_sentencepiece,
     )
     return {f.__name__: f for f in own}
 

@@ -10,10 +10,10 @@ from tariffscope import schema
 from tariffscope.functions import text as X
 from tariffscope.functions.dates import flexible_date
 from tariffscope.operators import quality
-from tariffscope.plans import oracle, pipeline, sample_charges, sample_files
+from tariffscope.plans import admit, oracle, pipeline, sample_charges, sample_files
 from tariffscope.plans.queries import register
 from tariffscope.session import materialize, shared_dir
-from tariffscope.sources import admission, csv_files, headers, index, json_files, tables
+from tariffscope.sources import admission, csv_files, headers, index, json_files, store, tables
 
 # Codes compare as one text; both sides build it the same way.
 _CODES = "array_to_string(list_transform(codes, lambda c: c.code || '/' || upper(c.type)), ' ') AS codes"
@@ -67,17 +67,70 @@ def _(spark, sf):
 @register("ingested_files", _TALL_SQL)
 def _(spark, sf):
     """The tall files of all hospitals, written to the shared folder and read by the ingest job."""
+    files, out = _landing(spark, sf), f"{shared_dir(spark)}/ingested-{uuid.uuid4().hex}"
+    pipeline.ingest_files(spark, files, out)
+    return _plain_codes(store.read_charges(spark, out)).select("description", "setting", "notes", *_LONG_COLUMNS)
+
+
+def _landing(spark, sf):
+    """The tall files as text files, one for each hospital; and one file that is none."""
     heads, records = sample_files.tall_file(spark, sf)
     first = heads.select("path", F.inline(F.transform("head_lines", lambda line: F.struct(F.lit(0).alias("order"), line.alias("value")))))
     lines = materialize(records.select("path", F.lit(1).alias("order"), "value"), "records")
-    both = first.join(lines, "path", "left_semi").unionByName(lines)
-    hospital = F.element_at(F.split("path", "/"), 1)
-    landing, out = (f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}" for name in ("landing", "ingested"))
+    junk = heads.where("hospital_id = 'h5'").select("path", F.lit(0).alias("order"), F.lit("a,b").alias("value"))
+    both = first.join(lines, "path", "left_semi").unionByName(lines).unionByName(junk)
+    landing, hospital = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}", F.element_at(F.split("path", "/"), 1)
     sorted_lines = both.select(hospital.alias("of"), "order", "value").repartition("of").sortWithinPartitions("of", "order")
     sorted_lines.drop("order").write.partitionBy("of").text(landing)
-    files = headers.list_files(spark, landing).withColumn("hospital_id", F.regexp_replace("hospital_id", "^of=", ""))
-    pipeline.ingest_files(spark, files, out)
-    return _plain_codes(tables.read_charges(spark, f"{out}/charges")).select("description", "setting", "notes", *_LONG_COLUMNS)
+    return headers.list_files(spark, landing).withColumn("hospital_id", F.regexp_replace("hospital_id", "^of=", ""))
+
+
+@register(
+    "admission_runs",
+    oracle.sql(
+        f"""SELECT hospital_id, CASE WHEN lost AND NOT pinned THEN 'missing' WHEN k = 5 THEN 'rejected' WHEN k > 5 THEN 'missing'
+        WHEN pinned THEN 'pinned' ELSE 'found' END AS state, CASE WHEN k <= 5 THEN 'new' END AS first_status,
+        CASE WHEN k <= 4 THEN CASE WHEN k = 1 THEN 'unchanged_content' ELSE 'unchanged_remote' END WHEN k = 5 THEN 'new' END AS second_status,
+        CASE WHEN lost AND NOT pinned THEN 'no location matching ''Nowhere''; listed: ' || locations WHEN k = 5 THEN '{headers.NO_HEADER}'
+        WHEN k > 5 THEN 'no file was fetched from ' || url END AS error, CASE WHEN k <= 4 THEN row_count END AS row_count,
+        CASE WHEN k <= 4 THEN 'csv_tall' END AS source_format, coalesce(row_count, 0) AS charges
+        FROM (SELECT n_nationkey AS k, 'h' || n_nationkey AS hospital_id, r_name AS site, n_name, n_nationkey % 5 = 4 AS pinned,
+        n_nationkey % 7 = 6 AS lost, 'https://' || r_name || '/h' || n_nationkey || '.csv' AS url FROM nation JOIN region ON n_regionkey = r_regionkey)
+        JOIN (SELECT r_name AS site, string_agg(n_name || ' Hospital', ', ' ORDER BY n_name || ' Hospital') AS locations
+        FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name) USING (site)
+        LEFT JOIN (SELECT hospital_id, count(*) AS row_count FROM charges GROUP BY hospital_id) USING (hospital_id)""",
+        "charges",
+    ),
+)
+def _(spark, sf):
+    """From index texts to stored charges and failures, twice. In between one file gets a new mark but no new content."""
+    out, key = f"{shared_dir(spark)}/admitted-{uuid.uuid4().hex}", F.col("n_nationkey")
+    nations = sample_charges.table(spark, sf, "nation").join(
+        sample_charges.table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    hospital = F.concat(F.lit("h"), key.cast("string"))
+    url = F.concat(F.lit("https://"), "r_name", F.lit("/"), hospital, F.lit(".csv"))
+    record = F.concat(F.lit("location-name: "), "n_name", F.lit(" Hospital\nmrf-url: "), url)
+    sites = nations.groupBy(F.col("r_name").alias("site")).agg(F.array_join(F.array_sort(F.collect_list(record)), "\n\n").alias("text"))
+    targets = nations.select(
+        hospital.alias("hospital_id"),
+        F.col("r_name").alias("site"),
+        F.when(key % 7 == 6, "Nowhere").otherwise(F.lower("n_name")).alias("location_match"),
+        F.when(key % 5 == 4, url).alias("pinned_url"),
+    )
+    files = _landing(spark, sf).select("hospital_id", "path")
+    marks = nations.select(hospital.alias("hospital_id"), url.alias("url"), F.concat(F.lit("v1-"), hospital).alias("etag"))
+    landed = marks.join(files, "hospital_id").withColumn("last_modified", F.lit(None).cast("string"))
+    first = materialize(admit.ingest_index(spark, targets, sites, landed, out, run="first"), "entries")
+    renewed = landed.withColumn("etag", F.when(F.col("hospital_id") == "h1", "v2").otherwise(F.col("etag")))
+    second = admit.ingest_index(spark, targets, sites, renewed, out, run="second")
+    rows = tables.row_counts(store.read_charges(spark, out)).withColumnRenamed("row_count", "charges")
+    told = second.select(
+        "hospital_id", "state", F.col("status").alias("second_status"), "error", "row_count", F.col("record.source_format").alias("source_format")
+    )
+    return told.join(first.select("hospital_id", F.col("status").alias("first_status")), "hospital_id").join(
+        rows, "hospital_id", "left"
+    ).withColumn("charges", F.coalesce("charges", F.lit(0)))
 
 
 _NO_PAYER = ", ".join(f"NULL AS {c}" for c in _RATE)
@@ -379,18 +432,20 @@ def _(spark, sf):
     return admission.admit(files, manifest).select("hospital_id", "sha256", "status")
 
 
+_POWERS = "list_reduce([CAST(0 AS HUGEINT)] || list_transform(lines, lambda x: CAST(md5_number_{half}(x) AS HUGEINT)), lambda m, h: (m * {factor} + h) % {prime})"
+
+
 @register(
     "line_fingerprints",
-    """SELECT source AS path, count(DISTINCT doc_id) AS files FROM documents GROUP BY source""",
+    f"""SELECT doc_id AS path, sha256(concat_ws('-', len(lines), {_POWERS.format(half="upper", factor=admission.FACTORS[0], prime=admission.PRIME)},
+    {_POWERS.format(half="lower", factor=admission.FACTORS[1], prime=admission.PRIME)}, strlen(text))) AS sha256
+    FROM (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents)""",
 )
 def _(spark, sf):
-    """Fingerprints do not depend on line order or on how often they are taken."""
-    docs = sample_charges.table(spark, sf, "documents").select("doc_id", "source", "text")
-    lines = docs.select(F.col("doc_id").alias("path"), F.explode(F.split("text", "\n")).alias("value"))
-    backwards = docs.select(F.col("doc_id").alias("path"), F.explode(F.reverse(F.split("text", "\n"))).alias("value"))
-    same = admission.line_fingerprints(lines).join(admission.line_fingerprints(backwards), ["path", "sha256"])
-    return (
-        same.join(docs.select(F.col("doc_id").alias("path"), "source"), "path")
-        .groupBy(F.col("source").alias("path"))
-        .agg(F.count("*").alias("files"))
-    )
+    """Content marks of texts taken as files of many blocks: the order of the lines counts, the block borders don't."""
+    docs = sample_charges.table(spark, sf, "documents").select("doc_id", "text")
+    lines = docs.select(F.col("doc_id").alias("path"), F.octet_length("text").alias("size"), F.posexplode(F.split("text", "\n")).alias("pos", "value"))
+    # borders at different places of each text
+    cut = lines.withColumn("block", F.floor((F.col("pos") + F.col("path") % 7) / 5))
+    in_order = cut.repartition("path", "block").sortWithinPartitions("path", "block", "pos")
+    return admission.content_marks(in_order).withColumn("path", F.col("path").cast("bigint"))

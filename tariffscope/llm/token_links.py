@@ -79,6 +79,7 @@ class ByteLevel:
         for token, number in self.library.get_vocab().items():
             self.token_bytes[number] = bytes(signs[s] for s in token) if all(s in signs for s in token) else token.encode()
         self.sizes = np.array([len(t) for t in self.token_bytes])
+        self.has_every_byte = {bytes([b]) for b in range(256)} <= set(self.token_bytes) and self.library.normalizer is None
         self.memory = piece_codec.Memory(self._chunks)
 
     def _one(self, text: str) -> list[int]:
@@ -102,6 +103,10 @@ class ByteLevel:
         return [list(chain.from_iterable(map(get, c))) for c in cut]
 
 
+def _spelt(table: list[bytes], ids: list[int]) -> bytes:
+    return b"".join(map(table.__getitem__, ids))
+
+
 class Aligner:
     """Both tokenizers and the tables that go with them."""
 
@@ -122,11 +127,10 @@ class Aligner:
         plain = [texts[i] for i in rows]
         a = self.a.encode([" " + t for t in plain])
         b = self.b.library.encode(plain, num_threads=1)
-        spelt = lambda table, ids, text: b"".join(map(table.__getitem__, ids)) == text
-        good = [
-            k for k, t in enumerate(plain)
-            if spelt(self.a.token_bytes, a[k], whole := b" " + t.encode()) and spelt(self.b.token_bytes, b[k], whole)
-        ]
+        wholes = [b" " + t.encode() for t in plain]
+        # a byte-level vocabulary that has every byte can only spell the text
+        good = range(len(plain)) if self.a.has_every_byte else [k for k, w in enumerate(wholes) if _spelt(self.a.token_bytes, a[k]) == w]
+        good = [k for k in good if _spelt(self.b.token_bytes, b[k]) == wholes[k]]
         return np.array([rows[k] for k in good], np.int64), [a[k] for k in good], [b[k] for k in good]
 
     def align(self, texts: list[str | None]) -> tuple[dict[str, np.ndarray], list[str], np.ndarray, np.ndarray]:
@@ -141,21 +145,25 @@ class Aligner:
         a_ends, b_ends = np.cumsum(self.a.sizes[a]), np.cumsum(self.b_sizes[b])
         cut_a, cut_b = np.zeros(a_ends[-1] + 1, bool), np.zeros(a_ends[-1] + 1, bool)
         cut_a[a_ends] = cut_b[b_ends] = True
-        both = np.flatnonzero(cut_a & cut_b)
+        cut_both = cut_a & cut_b
+        both = np.flatnonzero(cut_both)
         # between two neighbouring cuts lies one token of each side: one link
         each = np.flatnonzero(cut_a | cut_b)
+        # cuts of each kind before a byte: the number of the token, or group, that it lies in
+        a_before, b_before, g_before = (np.cumsum(c, dtype=np.int32) - c for c in (cut_a, cut_b, cut_both))
         upto = a_ends[np.cumsum(n_a) - 1]
-        owner = np.searchsorted(upto, each)
-        pairs = a[np.searchsorted(a_ends, each)] * self.n_b + b[np.searchsorted(b_ends, each)]
+        doc_ends = np.zeros(len(cut_a), bool)
+        doc_ends[upto] = True
+        owner = (np.cumsum(doc_ends, dtype=np.int32) - doc_ends)[each]
+        pairs = a[a_before[each]] * self.n_b + b[b_before[each]]
         counts["n_a"][rows], counts["n_b"][rows] = n_a, n_b
-        counts["n_groups"][rows] = np.bincount(np.searchsorted(upto, both), minlength=len(rows))
+        counts["n_groups"][rows] = np.diff(g_before[upto], prepend=-1)
         counts["n_links"][rows] = np.bincount(owner, minlength=len(rows))
         # where each token stands in the written groups: A tokens of a group, then its B tokens
-        a_group, b_group = np.searchsorted(both, a_ends), np.searchsorted(both, b_ends)
-        a_upto, b_upto = np.searchsorted(a_ends, both, "right"), np.searchsorted(b_ends, both, "right")
+        a_group, b_group = g_before[a_ends], g_before[b_ends]
         order = np.empty(len(a) + len(b), np.int64)
-        order[np.arange(len(a)) + np.r_[0, b_upto][a_group]] = 2 * a + (a_ends == both[a_group])
-        order[np.arange(len(b)) + a_upto[b_group]] = self.b_from + 2 * b + (b_ends == both[b_group])
+        order[np.arange(len(a)) + np.r_[0, b_before[both] + 1][a_group]] = 2 * a + cut_b[a_ends]
+        order[np.arange(len(b)) + a_before[both][b_group] + 1] = self.b_from + 2 * b + cut_a[b_ends]
         written, at = list(map(self.written.__getitem__, order.tolist())), 0
         for row, n in zip(rows.tolist(), (n_a + n_b).tolist(), strict=True):
             groups[row] = "".join(written[at : at + n])[:-1]

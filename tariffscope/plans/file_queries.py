@@ -13,7 +13,7 @@ from tariffscope.operators import quality
 from tariffscope.plans import admit, oracle, pipeline, sample_charges, sample_files
 from tariffscope.plans.queries import register
 from tariffscope.session import materialize, shared_dir
-from tariffscope.sources import admission, csv_files, headers, index, json_files, store, tables
+from tariffscope.sources import admission, csv_files, drift, headers, index, json_files, store, tables
 
 # Codes compare as one text; both sides build it the same way.
 _CODES = "array_to_string(list_transform(codes, lambda c: c.code || '/' || upper(c.type)), ' ') AS codes"
@@ -182,27 +182,73 @@ def _(spark, sf):
     return _plain_codes(charges).select("description", "setting", "notes", *_LONG_COLUMNS)
 
 
+_PARITY = [c for c in _RATE if c != "payer_name"]
+_PARITY_SQL = ", ".join(_PARITY).replace("plan_name", "coalesce(trim(plan_name), 'None') AS plan_name")
+
+
 @register(
     "layout_parity",
-    oracle.sql("SELECT hospital_id, CAST(0 AS BIGINT) AS only_in_tall, CAST(0 AS BIGINT) AS only_in_json FROM charges GROUP BY hospital_id", "charges"),
+    oracle.sql(
+        f"""SELECT hospital_id, count(*) AS differing, CAST(sum(t - least(t, w, j)) AS BIGINT) AS more_in_tall, CAST(sum(w - least(t, w, j)) AS BIGINT) AS more_in_wide,
+        CAST(sum(j - least(t, w, j)) AS BIGINT) AS more_in_json FROM (SELECT * EXCLUDE (t, w, j), sum(t) AS t, sum(w) AS w, sum(j) AS j FROM (
+        SELECT hospital_id, trim(description) AS description, {_PARITY_SQL.replace("allowed_count", "x.c AS allowed_count")}, x.t, x.w, x.j FROM (
+            SELECT *, unnest([{{'t': CASE WHEN description LIKE '%1' THEN 0 ELSE 1 END, 'w': CASE WHEN description LIKE '%2' THEN 2 ELSE 1 END,
+            'j': CASE WHEN description LIKE '%3' THEN 0 ELSE 1 END, 'c': allowed_count}}, {{'t': 0, 'w': 0, 'j': CASE WHEN description LIKE '%3' THEN 1 ELSE 0 END, 'c': 'many'}}]) AS x
+            FROM charges WHERE payer_name IS NOT NULL)
+        ) GROUP BY ALL) WHERE t <> w OR t <> j GROUP BY hospital_id""",
+        "charges",
+    ),
 )
 def _(spark, sf):
-    """Rows of payer rates per hospital that one layout gives and the other does not."""
+    """How the payer rates of three layouts differ, after rows were taken out of one, doubled in another and changed in the third."""
 
     def rates(charges):
-        trimmed = charges.where("payer_name is not null").withColumn("description", F.trim("description"))
-        return trimmed.select("hospital_id", "description", *_RATE)
-
-    tall = _tall(spark, sf)
-    diff = quality.same_rows(rates(tall), rates(_json(spark, sf)))
-    found = diff.groupBy("hospital_id").agg(
-        F.count_if(F.col("side") == "left").alias("l"), F.count_if(F.col("side") == "right").alias("r")
-    )
-    return tall.select("hospital_id").distinct().join(found, "hospital_id", "left").select(
-        "hospital_id", F.coalesce("l", F.lit(0)).alias("only_in_tall"), F.coalesce("r", F.lit(0)).alias("only_in_json")
+        plan = F.coalesce(F.trim("plan_name"), F.lit("None"))
+        rows = charges.where("payer_name is not null").withColumn("description", F.trim("description")).withColumn("plan_name", plan)
+        return rows.select("hospital_id", "description", *_PARITY)
+
+    ends = lambda digit: F.coalesce(F.col("description").like(f"%{digit}"), F.lit(False))
+    wide, nested = rates(_wide(spark, sf)), rates(_json(spark, sf))
+    layouts = {
+        "tall": rates(_tall(spark, sf)).where(~ends(1)),
+        "wide": wide.withColumn("_copy", F.explode(F.when(ends(2), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))).drop("_copy"),
+        "json": nested.withColumn("allowed_count", F.when(ends(3), "many").otherwise(F.col("allowed_count"))),
+    }
+    least = F.least("tall", "wide", "json")
+    return quality.layout_differences(layouts).groupBy("hospital_id").agg(
+        F.count("*").alias("differing"), *[F.sum(F.col(name) - least).alias(f"more_in_{name}") for name in layouts]
     )
 
 
+@register(
+    "schema_drift",
+    oracle.sql(
+        """SELECT hospital_id, name, found, wanted FROM (SELECT hospital_id, unnest(CASE hospital_id
+        WHEN 'h1' THEN [{'name': 'gross_charge', 'found': 'string', 'wanted': 'double'}] WHEN 'h2' THEN [{'name': 'notes', 'found': NULL, 'wanted': 'string'}]
+        WHEN 'h3' THEN [{'name': 'extra', 'found': 'int', 'wanted': NULL}] WHEN 'h4' THEN [{'name': 'codes', 'found': 'array<struct<code:string>>', 'wanted': 'array<struct<code:string,type:string>>'}]
+        END, recursive := true) FROM (SELECT DISTINCT hospital_id FROM charges))""",
+        "charges",
+    ),
+)
+def _(spark, sf):
+    """Stored partitions of which four were written by other code: a type, a column less, one more, a field less."""
+    folder = f"{shared_dir(spark)}/drifted-{uuid.uuid4().hex}"
+    stored = materialize(sample_charges.charges(spark, sf), "charges")
+    tables.write_charges(stored, folder)
+    codes = F.transform("codes", lambda c: F.struct(c["code"].alias("code")))
+    others = {
+        "h1": stored.withColumn("gross_charge", F.col("gross_charge").cast("string")),
+        "h2": stored.drop("notes"),
+        "h3": stored.withColumn("extra", F.lit(1)),
+        "h4": stored.withColumn("codes", codes),
+    }
+    for hospital, changed in others.items():
+        rows = changed.where(F.col("hospital_id") == hospital).drop("hospital_id")
+        rows.write.mode("overwrite").parquet(f"{folder}/{tables.partition_folder(hospital)}")
+    found = drift.drift(drift.footers(spark, folder), schema.CHARGES_STORED, ["hospital_id"])
+    return found.select("hospital_id", "name", "found", "wanted").distinct()
+
+
 @register(
     "stored_row_counts", oracle.sql("SELECT hospital_id, count(*) AS row_count FROM charges GROUP BY ALL", "charges")
 )

@@ -229,9 +229,9 @@ FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "benchmarked": (
         ("mart",),
-        """SELECT *, round(100.0 * median_rate / nullif(
-            median(CASE WHEN product_line = 'Medicare (traditional)' THEN median_rate END)
-            OVER (PARTITION BY billing_code, hospital_name), 0), 0) AS pct_of_medicare FROM mart""",
+        """SELECT mart.*, round(100.0 * median_rate / CASE WHEN medicare <> 0 THEN medicare END, 0) AS pct_of_medicare
+        FROM mart LEFT JOIN (SELECT billing_code, hospital_name, list_median(list(median_rate)) AS medicare FROM mart
+            WHERE product_line = 'Medicare (traditional)' GROUP BY billing_code, hospital_name) USING (billing_code, hospital_name)""",
     ),
     "hospital_medians": (
         ("mart",),

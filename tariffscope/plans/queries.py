@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffscope.operators import compare, marts, payers, prices, quality, rates
+from tariffscope.operators import audit, compare, marts, payers, prices, quality, rates
 from tariffscope.plans import oracle, sample_charges, staging
 from tariffscope.session import configure, materialize
 from tariffscope.sources import seeds
@@ -409,6 +409,51 @@ def _(spark, sf):
     return quality.unmapped_payers(model.fact(), model.payers)
 
 
+def _rule(rule: str, severity: str, rows: str, source: str) -> str:
+    return f"SELECT '{rule}' AS rule, '{severity}' AS severity, count(*) AS offenders, CAST(sum({rows}) AS BIGINT) AS rows FROM {source}"
+
+
+_PLANTED_RATES = """(SELECT * REPLACE (CASE WHEN description LIKE '%9' THEN -effective_rate ELSE effective_rate END AS effective_rate) FROM fact)"""
+_PLANTED_HOSPITALS = """(FROM hospitals WHERE hospital_id <> 'h4' UNION ALL FROM hospitals WHERE hospital_id = 'h3')"""
+_PLANTED_PAYERS = """(FROM payers WHERE payer_key >= '2' UNION ALL FROM payers WHERE payer_key >= 'e')"""
+_PLANTED_STAGED = """(SELECT CASE WHEN description LIKE '%8' THEN 'elsewhere' ELSE setting END AS setting FROM staged)"""
+_AUDIT_RULES = [
+    _rule("charges.setting accepted", "warn", "1", f"{_PLANTED_STAGED} WHERE setting NOT IN ('inpatient', 'outpatient', 'both')"),
+    _rule("hospitals.hospital_id unique", "error", "n", f"(SELECT count(*) AS n FROM {_PLANTED_HOSPITALS} GROUP BY hospital_id HAVING count(*) > 1)"),
+    _rule("payers.payer_key unique", "error", "n", f"(SELECT count(*) AS n FROM {_PLANTED_PAYERS} GROUP BY payer_key HAVING count(*) > 1)"),
+    _rule("rates.rate_key unique", "warn", "n", "(SELECT count(*) AS n FROM fact GROUP BY rate_key HAVING count(*) > 1)"),
+    _rule("rates.hospital_id known", "error", "n", f"(SELECT count(*) AS n FROM fact ANTI JOIN {_PLANTED_HOSPITALS} USING (hospital_id) GROUP BY hospital_id)"),
+    _rule("rates.payer_key known", "error", "n", f"(SELECT count(*) AS n FROM fact ANTI JOIN {_PLANTED_PAYERS} USING (payer_key) GROUP BY payer_key)"),
+    _rule("rates.effective_rate not negative", "error", "1", f"{_PLANTED_RATES} WHERE effective_rate < 0"),
+    _rule("rate above list price", "warn", "1", f"{_PLANTED_RATES} WHERE methodology = 'fee schedule' AND gross_charge > 0 AND effective_rate / gross_charge > 1.05"),
+    _rule("hospital service coverage", "warn", "n", f"""(SELECT count(DISTINCT billing_code) AS n FROM {_PLANTED_HOSPITALS} h LEFT JOIN (SELECT hospital_id, billing_code
+        FROM fact WHERE is_shoppable) USING (hospital_id) GROUP BY hospital_id HAVING 2 * count(DISTINCT billing_code) < (SELECT count(*) FROM services))"""),
+    _rule("unmapped payers", "warn", "n", f"""(SELECT count(*) AS n FROM fact JOIN {_PLANTED_PAYERS} USING (payer_key)
+        WHERE payer_group = 'Other' GROUP BY payer_name, plan_name)"""),
+]
+
+
+@register(
+    "audit_offenders",
+    oracle.sql(f"SELECT * FROM ({' UNION ALL '.join(_AUDIT_RULES)}) WHERE offenders > 0", "fact", "hospitals", "payers", "services", "staged"),
+)
+def _(spark, sf):
+    """Every rule of the warehouse on tables in which breaks of most of them are planted."""
+    model, watch = Model(spark, sf), audit.Watch()
+    odd = F.when(F.col("description").like("%8"), "elsewhere").otherwise(F.col("setting"))
+    watch.watch("charges", model.stored.withColumn("setting", odd)).write.format("noop").mode("overwrite").save()
+    rate = F.when(F.col("description").like("%9"), -F.col("effective_rate")).otherwise(F.col("effective_rate"))
+    hospitals, payers = model.hospitals, model.payers.drop("n_rows")
+    planted = {
+        "hospitals": hospitals.where("hospital_id <> 'h4'").unionByName(hospitals.where("hospital_id = 'h3'")),
+        "payers": payers.where("payer_key >= '2'").unionByName(payers.where("payer_key >= 'e'")),
+        "services": model.services,
+        "rates": model.fact().withColumn("effective_rate", rate),
+    }
+    written = {name: materialize(watch.watch(name, df), name) for name, df in planted.items()}
+    return audit.audit(watch, written).groupBy("rule", "severity").agg(F.count("*").alias("offenders"), F.sum("rows").alias("rows"))
+
+
 def _load() -> None:
     """The ingest queries register themselves on import; they need ``register`` from here."""
     from tariffscope.plans import file_queries  # noqa: F401

@@ -3,7 +3,7 @@ import statistics
 
 from pyspark.sql import functions as F
 
-from tariffscope.operators import marts, payers, quality
+from tariffscope.operators import audit, marts, payers, quality
 from tariffscope.operators.lookup import lookup_join
 from tariffscope.operators.medians import group_with_medians, weighted_medians
 from tariffscope.session import materialize
@@ -137,11 +137,15 @@ def test_multiset_difference_counts_copies(spark):
     assert quality.same_rows(a, a).isEmpty()
 
 
-def test_check_raises_only_for_errors(spark):
+def test_layouts_are_compared_by_counts(spark):
+    a, b, c = (spark.createDataFrame([(x,) for x in rows], "x int") for rows in ([1, 1, 2, 4], [1, 2, 3, 4], [1, 1, 2, None, 4]))
+    got = {r.x: (r.a, r.b, r.c) for r in quality.layout_differences({"a": a, "b": b, "c": c}).collect()}
+    assert got == {1: (2, 1, 2), 3: (0, 1, 0), None: (0, 0, 1)}
+
+
+def test_only_errors_stop_a_job():
     import pytest
 
-    bad, none = spark.range(2), spark.range(0)
-    warn, fine = quality.Expectation("w", "warn", bad), quality.Expectation("f", "error", none)
-    assert quality.check([warn, fine]) == [("w", "warn", 2), ("f", "error", 0)]
+    audit.demand([("w", "warn", 2), ("f", "error", 0)])
     with pytest.raises(quality.ExpectationError, match="broken: 2"):
-        quality.check([quality.Expectation("broken", "error", bad)])
+        audit.demand([("w", "warn", 2), ("broken", "error", 2)])

@@ -1,13 +1,19 @@
 """Vectorised words, word names and window names over many texts at once.
 
 All names are unsigned 64-bit polynomial hashes (arithmetic modulo 2^64 over random byte values) with a
-final mix, so equal content has the same name in every task without any exchange.
+final mix, so equal content has the same name in every task without any exchange. Modulo a power of two
+there are pairs of long words that collide whatever the base is (Thue and Morse's pattern and its complement, from 1,024
+bytes on), so a word of more than LONG_WORD bytes is named by a cryptographic hash.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
+#: Bytes up to which a word's name is a polynomial: no structure short enough cancels more than some twenty bits.
+LONG_WORD = 64
 U = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(20240611))
 _BYTE = _RNG.integers(1, 2**64 - 1, 256, dtype=U) | U(1)
@@ -73,6 +79,9 @@ def word_names(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
         s, e = starts[at:upto] - first, ends[at:upto] - first
         out[at:upto] = mix((prefix[e] - prefix[s]) * inverse[s] + (e - s).astype(U))
         at = upto
+    for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+        digest = hashlib.blake2b(buf[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        out[i] = int.from_bytes(digest, "little")
     return out
 
 

@@ -87,6 +87,20 @@ def test_near_duplicates(docs):
     assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == {i: (len(sets[i]), root[i]) for i in sets}
 
 
+def test_words_that_collide_modulo_a_power_of_two(spark):
+    """Thue and Morse's pattern and its complement have equal polynomials modulo 2^64 for every base and all byte values."""
+    pattern = "a"
+    while len(pattern) < 4096:
+        pattern += pattern.translate(str.maketrans("ab", "ba"))
+    other = pattern.translate(str.maketrans("ab", "ba"))
+    rest = [f"w{i}" for i in range(19)]
+    texts = [" ".join([pattern, *rest]), " ".join([other, *rest]), f"{pattern} x y z v", f"{other} x y z v"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {r.n_removed for r in substring_dedup.drop_repeated_windows(docs).collect()} == {0}
+    classes = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(docs).collect()}
+    assert classes[2] == 2 and classes[3] == 3 and classes[0] == classes[1] == 0
+
+
 def test_links_are_named_as_a_spanning_count(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert jaccard_join.near_duplicates(docs).columns == ["doc_id", "n_shingles", "component_id", "n_spanning_links", "n_copies"]

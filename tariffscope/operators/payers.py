@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tariffscope.functions.text import has_word
+from tariffscope.operators.lookup import broadcast_if_small
 
-MAX_PATTERNS = 10_000
+#: Signs by which patterns are looked up.
+GRAM = 3
 
 
 def display_name(payer: Column) -> Column:
@@ -37,59 +39,64 @@ def cleanse(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _ordered(patterns: DataFrame) -> list:
-    """The pattern list, best first. It is configuration, so it may come to the driver."""
-    rows = patterns.select("pattern", "payer_group", "priority", "product_line").take(MAX_PATTERNS + 1)
-    if len(rows) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} payer patterns")
-    return sorted(rows, key=lambda r: (r.priority, -len(r.pattern), r.pattern))
-
-
 def _match_inputs() -> tuple[Column, Column]:
     """What patterns are tried on, in order of trust: insurer name, then contract name."""
     return F.lower("payer_display_name"), F.lower(F.coalesce("plan_name", F.lit("")))
 
 
+def _grams(text: Column, size: Column | int) -> Column:
+    """All runs of ``size`` signs of a text; of no signs there is one."""
+    last = F.length(text) - size + 1
+    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substring(text, i, F.lit(size))))
+
+
+def pattern_index(patterns: DataFrame) -> DataFrame:
+    """Each pattern with a ``gram`` that every text it matches must hold.
+
+    The gram is up to GRAM signs of the pattern's longest piece without wildcards, the one that fewest
+    patterns share; a pattern of wildcards alone has the empty gram.
+    """
+    pieces = F.regexp_extract_all("pattern", F.lit(r"(?s)((?:[^%_\\]|\\.)+)"), F.lit(1))
+    plain = F.transform(pieces, lambda p: F.regexp_replace(p, r"(?s)\\(.)", "$1"))
+    longest = F.reduce(plain, F.lit(""), lambda a, x: F.when(F.length(x) > F.length(a), x).otherwise(a))
+    known = patterns.select("pattern", "payer_group", "priority", "product_line", longest.alias("_piece"))
+    size = F.least(F.length("_piece"), F.lit(GRAM))
+    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("_piece") - size + 1), lambda i: F.substring("_piece", i, size)))
+    rows = known.select("*", F.explode(grams).alias("gram")).drop("_piece")
+    shared = rows.groupBy("gram").agg(F.count("*").alias("n"))
+    rarest = F.min_by("gram", F.struct("n", "gram")).alias("gram")
+    return rows.join(shared, "gram").groupBy("pattern", "payer_group", "priority", "product_line").agg(rarest)
+
+
 def candidates(cleansed: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Every pattern that matches a pair, on the insurer name (source 1) or the plan (source 2)."""
-    hits = []
-    for source, text in enumerate(_match_inputs(), start=1):
-        for p in _ordered(patterns):
-            hit = F.struct(
-                F.lit(p.payer_group).alias("payer_group"),
-                F.lit(p.product_line).cast("string").alias("product_line_override"),
-                F.lit(p.priority).alias("priority"),
-                F.lit(len(p.pattern)).alias("specificity"),
-                F.lit(source).alias("match_source"),
-                F.lit(p.pattern).alias("pattern"),
-            )
-            hits.append(F.when(text.like(p.pattern), hit))
-    return cleansed.select("payer_name", "plan_name", F.inline(F.array_compact(F.array(*hits))))
+    """Every pattern that matches a pair, on the insurer name (source 1) or the plan (source 2).
+
+    Patterns are looked up by a run of signs that a text must hold for them to match, and only those are tried: the work
+    does not grow with pairs times patterns.
+    """
+    index = broadcast_if_small(pattern_index(patterns))
+    inputs = [F.struct(F.lit(i).alias("match_source"), text.alias("text")) for i, text in enumerate(_match_inputs(), start=1)]
+    texts = cleansed.select("payer_name", "plan_name", F.inline(F.array(*inputs)))
+    grams = F.array_distinct(F.flatten(F.array_compact(F.array(*[_grams(F.col("text"), n) for n in range(GRAM + 1)]))))
+    found = texts.select("*", F.explode(grams).alias("gram")).join(index, "gram").where("text LIKE pattern")
+    return found.select(
+        "payer_name", "plan_name", "payer_group", F.col("product_line").alias("product_line_override"), "priority",
+        F.length("pattern").alias("specificity"), "match_source", "pattern",
+    )
 
 
 def best_match(cleansed: DataFrame, patterns: DataFrame) -> DataFrame:
     """The winning pattern per pair; NULLs where nothing matches.
 
-    Patterns are tried best first, so the first hit is the winner: no join and no ranking.
+    The insurer name is trusted before the plan; then come priority, the longer pattern, the smaller text.
     """
-    ordered = _ordered(patterns)
-    by_name, by_plan = [
-        F.coalesce(*[F.when(text.like(p.pattern), F.lit(i)) for i, p in enumerate(ordered)], F.lit(None).cast("int"))
-        for text in _match_inputs()
-    ]
-    groups = F.array(*[F.lit(p.payer_group) for p in ordered])
-    lines = F.array(*[F.lit(p.product_line).cast("string") for p in ordered])
-    return (
-        cleansed.withColumns({"_name_hit": by_name, "_plan_hit": by_plan})
-        .withColumn("_hit", F.coalesce("_name_hit", "_plan_hit"))
-        .withColumns(
-            {
-                "matched_group": F.get(groups, F.col("_hit")),
-                "product_line_override": F.get(lines, F.col("_hit")),
-                "match_source": F.when(F.col("_name_hit").isNotNull(), 1).when(F.col("_plan_hit").isNotNull(), 2),
-            }
-        )
-        .drop("_name_hit", "_plan_hit", "_hit")
+    rank = F.struct("match_source", "priority", -F.col("specificity"), "pattern")
+    won = F.min_by(F.struct("payer_group", "product_line_override", "match_source"), rank).alias("won")
+    best = candidates(cleansed, patterns).groupBy("payer_name", "plan_name").agg(won)
+    c, b = cleansed.alias("c"), best.alias("b")
+    same = (F.col("c.payer_name") == F.col("b.payer_name")) & F.col("c.plan_name").eqNullSafe(F.col("b.plan_name"))
+    return c.join(b, same, "left").select(
+        "c.*", F.col("won.payer_group").alias("matched_group"), "won.product_line_override", "won.match_source"
     )
 
 

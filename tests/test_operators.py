@@ -1,3 +1,5 @@
+from collections import Counter
+
 import random
 import statistics
 
@@ -106,6 +108,34 @@ def test_best_match_is_the_top_candidate(spark):
         assert (group, source) == (top.payer_group, top.match_source)
 
 
+def test_many_patterns_and_odd_ones(spark):
+    """50,000 patterns; wildcards alone, escapes, short pieces, one sign; against trying every pattern."""
+    import re
+
+    odd = ["%", "_%", "%a_tna%", "a%", r"50\%%", r"%x\_y%", "%bc%", "q", "", "%--%", r"%\\%", "%é%"]
+    many = [f"%carrier {i:05d}%" for i in range(50_000)]
+    rows = [(p, f"g{i}", i % 7, None) for i, p in enumerate(odd + many)]
+    patterns = spark.createDataFrame(rows, "pattern string, payer_group string, priority int, product_line string")
+    texts = ["Aetna", "AXTNA", "50% off", "x_y", "xzy", "q", "", "abc -- d", "back\\slash", "the carrier 04711 plan", "CARRIER 49999", "é", "Zz"]
+    cleansed = payers.cleanse(pairs(spark, [(t, texts[-i]) for i, t in enumerate(texts)]))
+    got = Counter((r.payer_name, r.match_source, r.pattern) for r in payers.candidates(cleansed, patterns).collect())
+
+    def matches(text, pattern):
+        parts = re.findall(r"\\.|.", pattern)
+        regex = "".join(".*" if x == "%" else "." if x == "_" else re.escape(x[-1]) for x in parts)
+        return re.fullmatch(regex, text, re.S) is not None
+
+    short = odd + [many[4711], many[49999]]
+    want = Counter()
+    for i, name in enumerate(texts):
+        for source, text in ((1, name.lower()), (2, texts[-i].lower())):
+            want.update((name, source, p) for p in short if matches(text, p))
+    assert got == want
+    best = {r.payer_name: r.matched_group for r in payers.best_match(cleansed, patterns).collect()}
+    top = {t: min((s, (odd + many).index(p) % 7, -len(p), p) for n, s, p in want if n == t) for t in texts}
+    assert best == {t: f"g{(odd + many).index(p)}" for t, (*_, p) in top.items()}
+
+
 def price_row(hospital, group, line, rate, service="MRI"):
     return ("Imaging", service, "70551", hospital, group, line, rate)
 

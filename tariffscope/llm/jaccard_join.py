@@ -276,7 +276,7 @@ def _links(packed: DataFrame, nodes: DataFrame, size: int, shingle: int) -> Data
         pairs = rows.join(centre, "sig").select(F.col("c.node").alias("x"), F.col("c.n").alias("xn"), F.col("node").alias("y"), F.col("n").alias("yn"), "tag", "segment")
         # a first guess at links: those with a third of the agreement that a link has
         some = pairs.where(fits).groupBy("x", "y", "tag").agg(F.count_distinct("segment").alias("c")).where(F.col("c") * 3 >= need)
-        return _ordered(some)
+        return _alike(_ordered(some), nodes)
 
     first = stars(sig_of, F.xxhash64("node"))
     done = materialize(_verified(packed, nodes, first, shingle), "links")
@@ -309,6 +309,18 @@ def _enough(doc: np.ndarray, tag: np.ndarray, segment: np.ndarray, needs: np.nda
     return out
 
 
+def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs whose bitmaps do not rule a link out; only their sets are fetched and compared."""
+    x = nodes.select(F.col("node").alias("x"), F.col("n").alias("xn"), *(F.col(b).alias(f"x{b}") for b in BITS))
+    y = nodes.select(F.col("node").alias("y"), F.col("n").alias("yn"), *(F.col(b).alias(f"y{b}") for b in BITS))
+    return pairs.join(x, "x").join(y, "y").where(_apart() * 9 <= F.col("xn") + F.col("yn")).select("x", "y")
+
+
+def _apart():
+    """Bits in which the bitmaps of x and y differ: never more than the sets do."""
+    return sum((F.bit_count(F.col(f"x{b}").bitwiseXOR(F.col(f"y{b}"))) for b in BITS), F.lit(0))
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
@@ -336,8 +348,7 @@ def _between(signed: DataFrame, spread: DataFrame, nodes: DataFrame, roots: Data
     rows = materialize(rows.join(known, "node").select("sig", "node", "n", "tag", "segment", "root", "dear", "needs", "deleted", "least", *BITS), "open")
     x = rows.select("sig", "tag", "segment", "least", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"), F.col("deleted").alias("xd"), "dear", "needs", *(F.col(b).alias(f"x{b}") for b in BITS)).where("needs or not dear")
     y = rows.select("sig", F.col("node").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"), F.col("deleted").alias("yd"), *(F.col(b).alias(f"y{b}") for b in BITS))
-    apart = sum((F.bit_count(F.col(f"x{b}").bitwiseXOR(F.col(f"y{b}"))) for b in BITS), F.lit(0))
-    fits = (F.least("xn", "yn") * 5 >= F.greatest("xn", "yn") * 4) & (apart * 9 <= F.col("xn") + F.col("yn"))
+    fits = (F.least("xn", "yn") * 5 >= F.greatest("xn", "yn") * 4) & (_apart() * 9 <= F.col("xn") + F.col("yn"))
     pairs = x.join(y, "sig").where((F.col("xr") != F.col("yr")) & ~(F.col("xd") & F.col("yd")) & fits)
     agreed = pairs.groupBy("x", "y", "tag").agg(F.count_distinct("segment").alias("c"), F.max("dear").alias("dear"), F.max("least").alias("least"))
     return _ordered(agreed.where(F.col("dear") | (F.col("c") >= F.col("least"))))

@@ -81,3 +81,15 @@ def test_repeated_rows_and_null_ids(spark, tmp_path):
     assert corpus_pipeline.quality(spark, docs, str(tmp_path)).count() == sum(good.values())
     got = Counter(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
     assert 0 < sum(got.values()) <= 5 and all(n <= Counter([1, 3, None, 2, 2])[i] for i, n in got.items())
+
+
+def test_verdicts_as_bits_choose_the_same_rows_with_and_without_broadcast(spark, monkeypatch):
+    rows = [0, 1, 63, 64, 127, 5000, 1 << 40, (1 << 40) + 63, 3 << 40]
+    docs = spark.createDataFrame([(r, f"t{r}") for r in range(6000)] + [(r, "far") for r in rows if r >= 6000], "_row bigint, text string")
+    chosen = spark.createDataFrame([(r,) for r in [*rows, 7]], "_row bigint")
+    for limit in (corpus_pipeline.MARKED_CHUNKS, 1):
+        monkeypatch.setattr(corpus_pipeline, "MARKED_CHUNKS", limit)
+        kept = corpus_pipeline._chosen(docs, chosen, keep=True)
+        assert kept.columns == ["text"] and kept.count() == len(rows) + 1
+        assert Counter(r.text for r in kept.collect())["far"] == 3
+        assert corpus_pipeline._chosen(docs, chosen, keep=False).count() == docs.count() - len(rows) - 1

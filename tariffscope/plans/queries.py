@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tariffscope.operators import audit, compare, marts, payers, prices, quality, rates
+from tariffscope.operators import audit, compare, marts, payers, prices, quality, rates, sketches
 from tariffscope.plans import oracle, sample_charges, staging
 from tariffscope.session import configure, materialize
 from tariffscope.sources import seeds
@@ -409,6 +409,30 @@ def _(spark, sf):
     return quality.unmapped_payers(model.fact(), model.payers)
 
 
+@register(
+    "sketch_medians",
+    oracle.sql(
+        """SELECT payer_group, CAST(count(effective_rate) AS BIGINT) AS rates, count(DISTINCT hospital_id) AS hospitals, true AS within_error
+        FROM fact JOIN payers USING (payer_key) WHERE effective_rate IS NOT NULL GROUP BY payer_group""",
+        "fact",
+        "payers",
+    ),
+)
+def _(spark, sf):
+    """Medians by carrier from stored sketches of each hospital: is the rank of each within the stated error (twice, for all groups)?"""
+    model, keys = Model(spark, sf), ["payer_group"]
+    names = model.payers.select("payer_key", "payer_group")
+    known = model.fact().where("effective_rate is not null").join(names, "payer_key")
+    known = materialize(known.select("hospital_id", "payer_group", "effective_rate", "median_amount"), "rates")
+    stored = materialize(sketches.rate_sketches(known, ["hospital_id", *keys]), "sketches")
+    found = materialize(sketches.merged_medians(stored, keys), "medians")
+    rank = sketches.ranks_of(known, found, keys, "effective_rate", "median_rate")
+    allowed = 2 * sketches.rank_error()
+    within = (F.col("below") <= 0.5 + allowed) & (F.col("upto") >= 0.5 - allowed)
+    hospitals = stored.groupBy(*keys).agg(F.count("*").alias("hospitals"))
+    return found.join(rank, keys).join(hospitals, keys).select(*keys, F.col("n_effective_rate").alias("rates"), "hospitals", within.alias("within_error"))
+
+
 def _rule(rule: str, severity: str, rows: str, source: str) -> str:
     return f"SELECT '{rule}' AS rule, '{severity}' AS severity, count(*) AS offenders, CAST(sum({rows}) AS BIGINT) AS rows FROM {source}"
 

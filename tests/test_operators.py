@@ -5,7 +5,7 @@ import statistics
 
 from pyspark.sql import functions as F
 
-from tariffscope.operators import audit, marts, payers, quality
+from tariffscope.operators import audit, marts, payers, quality, sketches
 from tariffscope.operators.lookup import lookup_join
 from tariffscope.operators.medians import group_with_medians, weighted_medians
 from tariffscope.session import materialize
@@ -167,6 +167,21 @@ def test_multiset_difference_counts_copies(spark):
     assert quality.same_rows(a, a).isEmpty()
 
 
+def test_sketches_merge_within_their_error(spark):
+    """50,000 values a group, far more than a sketch holds; some hospitals and groups without values."""
+    rows = spark.range(100_000).select(
+        (F.col("id") % 7).alias("hospital_id"), (F.col("id") % 2).alias("g"), F.pmod(F.xxhash64("id"), F.lit(1000)).cast("double").alias("effective_rate"),
+        F.when((F.col("id") % 7 == 0) & (F.col("id") % 2 == 0), F.lit(3.0)).alias("median_amount"),
+    )
+    stored = sketches.rate_sketches(rows, ["hospital_id", "g"])
+    found = sketches.merged_medians(stored, ["g"]).collect()
+    assert {(r.g, r.n_effective_rate, r.median_actually_paid) for r in found} == {(0, 50_000, 3.0), (1, 50_000, None)}
+    estimates = spark.createDataFrame([(r.g, r.median_rate) for r in found], "g bigint, e double")
+    for r in sketches.ranks_of(rows, estimates, ["g"], "effective_rate", "e").collect():
+        assert r.below <= 0.5 + 2 * sketches.rank_error() and r.upto >= 0.5 - 2 * sketches.rank_error()
+    assert sketches.merged_medians(stored.limit(0), ["g"]).collect() == []
+
+
 def test_layouts_are_compared_by_counts(spark):
     a, b, c = (spark.createDataFrame([(x,) for x in rows], "x int") for rows in ([1, 1, 2, 4], [1, 2, 3, 4], [1, 1, 2, None, 4]))
     got = {r.x: (r.a, r.b, r.c) for r in quality.layout_differences({"a": a, "b": b, "c": c}).collect()}

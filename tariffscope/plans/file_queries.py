@@ -19,11 +19,11 @@ from tariffscope.sources import admission, csv_files, drift, headers, index, jso
 _CODES = "array_to_string(list_transform(codes, lambda c: c.code || '/' || upper(c.type)), ' ') AS codes"
 _LONG = f"""hospital_id, {_CODES}, gross_charge, discounted_cash, min_charge, max_charge, negotiated_dollar,
 negotiated_percentage, negotiated_algorithm, methodology, median_amount, p10_amount, p90_amount, allowed_count,
-modifiers, payer_name, plan_name"""
+modifiers, payer_name, plan_name, drug_unit, drug_unit_type, estimated_amount"""
 _LONG_COLUMNS = [c.strip().split(" ")[-1] for c in _LONG.replace(_CODES, "codes").split(",")]
 _RATE = [
     "payer_name", "plan_name", "negotiated_dollar", "negotiated_percentage", "negotiated_algorithm",
-    "median_amount", "p10_amount", "p90_amount", "allowed_count", "methodology",
+    "median_amount", "p10_amount", "p90_amount", "allowed_count", "methodology", "estimated_amount",
 ]
 
 
@@ -72,17 +72,54 @@ def _(spark, sf):
     return _plain_codes(store.read_charges(spark, out)).select("description", "setting", "notes", *_LONG_COLUMNS)
 
 
+_LAYOUTS = """SELECT 'h' || n_nationkey AS hospital_id, CASE WHEN n_nationkey < 2 THEN 'csv_wide' WHEN n_nationkey < 5 THEN 'json' END AS source_format,
+    CASE n_nationkey WHEN 5 THEN '{no_header}' WHEN 6 THEN '{no_layout}' END AS error, CASE WHEN n_nationkey < 5 THEN n_name || ' Hospital' END AS hospital_name,
+    CASE WHEN n_nationkey < 2 THEN 'CA' WHEN n_nationkey < 5 THEN 'NY' END AS license_state, CASE WHEN n_nationkey < 5 THEN n_nationkey % 2 = 0 END AS attestation_confirmed,
+    CASE WHEN n_nationkey < 2 THEN '100000' || n_nationkey || ';200000' || n_nationkey WHEN n_nationkey < 5 THEN '100000' || n_nationkey END AS npi,
+    row_count, row_count AS counted, payer_rows, drug_rows, estimated_rows, highest, payer_notes
+    FROM nation LEFT JOIN (SELECT hospital_id, count(*) + count(payer_name) AS row_count, count(payer_name) AS payer_rows,
+        count(drug_unit) + count(CASE WHEN payer_name IS NOT NULL THEN drug_unit END) AS drug_rows, count(estimated_amount) AS estimated_rows,
+        max(estimated_amount) AS highest, count(CASE WHEN allowed_count = '7' AND hospital_id NOT IN ('h0', 'h1') THEN 1 END) AS payer_notes
+        FROM charges GROUP BY hospital_id) ON hospital_id = 'h' || n_nationkey WHERE n_nationkey < 7"""
+
+
+@register("ingested_layouts", oracle.sql(_LAYOUTS.format(no_header=headers.NO_HEADER, no_layout=headers.NO_LAYOUT), "charges"))
+def _(spark, sf):
+    """Wide and JSON files with their metadata, and two that are no price files, through the ingest job and its store."""
+    out = f"{shared_dir(spark)}/ingested-{uuid.uuid4().hex}"
+    of = lambda df, *ids: df.where(F.element_at(F.split("path", "/"), 1).isin(*ids))
+    wide = of(sample_files.csv_texts(sample_files.wide_file(spark, sf)), "h0", "h1")
+    nested = of(sample_files.json_files(spark, sf, materialize(sample_files.json_texts(spark, sf), "documents")), "h2", "h3", "h4")
+    junk = spark.createDataFrame([("h5/a", 0, "a,b"), ("h6/a", 0, "description,foo")], "path string, order int, value string")
+    pipeline.ingest_files(spark, _written(spark, wide.unionByName(nested).unionByName(junk)), out)
+    charges = store.read_charges(spark, out)
+    told = charges.groupBy("hospital_id").agg(
+        F.count("*").alias("counted"), F.count("payer_name").alias("payer_rows"), F.count("drug_unit").alias("drug_rows"),
+        F.count("estimated_amount").alias("estimated_rows"), F.max("estimated_amount").alias("highest"),
+        F.count_if(F.col("notes") == sample_files.PAYER_NOTES).alias("payer_notes"),
+    )
+    state = store.read_state(spark, out).select("hospital_id", "source_format", "error", "row_count", "record")
+    return state.join(told, "hospital_id", "left").select(
+        "hospital_id", "source_format", "error", "record.hospital_name", "record.license_state", "record.attestation_confirmed",
+        F.array_join("record.type_2_npi", ";").alias("npi"), "row_count", *[c for c in told.columns if c != "hospital_id"],
+    )
+
+
+def _written(spark, lines):
+    """Lines (path, order, value) as text files, one for each hospital, and their listing."""
+    landing, hospital = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}", F.element_at(F.split("path", "/"), 1)
+    sorted_lines = lines.select(hospital.alias("of"), "order", "value").repartition("of").sortWithinPartitions("of", "order")
+    sorted_lines.drop("order").write.partitionBy("of").text(landing)
+    return headers.list_files(spark, landing).withColumn("hospital_id", F.regexp_replace("hospital_id", "^of=", ""))
+
+
 def _landing(spark, sf):
     """The tall files as text files, one for each hospital; and one file that is none."""
     heads, records = sample_files.tall_file(spark, sf)
     first = heads.select("path", F.inline(F.transform("head_lines", lambda line: F.struct(F.lit(0).alias("order"), line.alias("value")))))
     lines = materialize(records.select("path", F.lit(1).alias("order"), "value"), "records")
     junk = heads.where("hospital_id = 'h5'").select("path", F.lit(0).alias("order"), F.lit("a,b").alias("value"))
-    both = first.join(lines, "path", "left_semi").unionByName(lines).unionByName(junk)
-    landing, hospital = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}", F.element_at(F.split("path", "/"), 1)
-    sorted_lines = both.select(hospital.alias("of"), "order", "value").repartition("of").sortWithinPartitions("of", "order")
-    sorted_lines.drop("order").write.partitionBy("of").text(landing)
-    return headers.list_files(spark, landing).withColumn("hospital_id", F.regexp_replace("hospital_id", "^of=", ""))
+    return _written(spark, first.join(lines, "path", "left_semi").unionByName(lines).unionByName(junk))
 
 
 @register(
@@ -155,7 +192,8 @@ def _(spark, sf):
     oracle.sql(
         f"""SELECT description, setting, notes, {_LONG} FROM (
         SELECT * REPLACE ({_NO_PAYER}) FROM charges UNION ALL
-        SELECT * REPLACE (trim(payer_name) AS payer_name, trim(plan_name) AS plan_name)
+        SELECT * REPLACE (trim(payer_name) AS payer_name, trim(plan_name) AS plan_name,
+            CASE WHEN allowed_count = '7' THEN '{sample_files.PAYER_NOTES}' ELSE notes END AS notes)
         FROM charges WHERE payer_name IS NOT NULL)""",
         "charges",
     ),
@@ -169,7 +207,8 @@ def _(spark, sf):
     oracle.sql(
         f"""SELECT description, setting, notes, {_LONG} FROM (
         SELECT * REPLACE ({_NO_PAYER}) FROM charges UNION ALL
-        SELECT * REPLACE (trim(payer_name) AS payer_name, trim(plan_name) AS plan_name)
+        SELECT * REPLACE (trim(payer_name) AS payer_name, trim(plan_name) AS plan_name,
+            CASE WHEN allowed_count = '7' THEN '{sample_files.PAYER_NOTES}' ELSE notes END AS notes)
         FROM charges WHERE payer_name IS NOT NULL)""",
         "charges",
     ),

@@ -92,7 +92,8 @@ FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = {
         CASE WHEN has_payer AND l_tax > 0.04 THEN rate * 0.9 * 0.5 END AS p10_amount,
         CASE WHEN has_payer AND l_tax > 0.04 THEN rate * 0.9 * 1.5 END AS p90_amount,
         CASE WHEN has_payer AND l_tax > 0.04 THEN CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS allowed_count,
-        CAST(NULL AS DOUBLE) AS estimated_amount,
+        CASE WHEN has_payer AND (formula OR percent_row) THEN rate * 0.75 END AS estimated_amount,
+        CASE WHEN p_partkey % 13 = 2 THEN '10.5' END AS drug_unit, CASE WHEN p_partkey % 13 = 2 THEN 'ML' END AS drug_unit_type,
         CASE WHEN l_linenumber = 2 THEN 'Size 9" x 1", see "' || p_name || '"' END AS notes,
         'h' || (l_suppkey % 5) AS hospital_id FROM wide_rows""",
     ),

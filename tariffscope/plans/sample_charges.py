@@ -104,8 +104,8 @@ def charges(spark: SparkSession, sf_dir: str) -> DataFrame:
         codes.alias("codes"),
         _choose(F.col("l_returnflag"), SETTINGS, F.lit("both")).alias("setting"),
         F.when(F.col("l_linestatus") != "F", "50").alias("modifiers"),
-        F.lit(None).cast("string").alias("drug_unit"),
-        F.lit(None).cast("string").alias("drug_unit_type"),
+        F.when(part % 13 == 2, "10.5").alias("drug_unit"),
+        F.when(part % 13 == 2, "ML").alias("drug_unit_type"),
         F.when(line.isin(1, 7), F.col("p_retailprice") * 3).alias("gross_charge"),
         F.when(line == 7, F.col("p_retailprice") * 2).alias("discounted_cash"),
         F.col("p_retailprice").alias("min_charge"),
@@ -120,7 +120,7 @@ def charges(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(line < 6, paid * 0.5).alias("p10_amount"),
         F.when(line < 6, paid * 1.5).alias("p90_amount"),
         F.when((line < 6) & paid.isNotNull(), F.col("l_quantity").cast("int").cast("string")).alias("allowed_count"),
-        F.lit(None).cast("double").alias("estimated_amount"),
+        F.when((line < 6) & (formula | percent_row), rate * 0.75).alias("estimated_amount"),
         F.when(line == 2, F.concat(F.lit('Size 9" x 1", see "'), "p_name", F.lit('"'))).alias("notes"),
         F.concat(F.lit("h"), (F.col("l_suppkey") % 5).cast("string")).alias("hospital_id"),
     )

@@ -35,12 +35,30 @@ def stored_files(spark, sf_dir: str) -> dict:
         lines, layouts = materialize(records, "lines"), materialize(headers.layouts(heads), "layouts")
         repaired = csv_files.repair(lines).select("path", "value")
         jobs[f"parse_{layout}"] = lambda parse=parse, r=repaired, k=layouts: parse(r, k)
+    jobs["ingest_files"] = ingest_job(spark, sf_dir)
     texts = materialize(sample_files.json_texts(spark, sf_dir), "documents")
     docs = texts.select("hospital_id", F.from_json("value", f"struct<{json_files.ITEMS}>").alias("d"))
     jobs["parse_json"] = lambda: json_files.documents_to_charges(docs.select("hospital_id", "d.*"), "hospital_id")
     return jobs
 
 
+def ingest_job(spark, sf_dir: str):
+    """Tall files on disk through the whole ingest: heads, repair, parse, write, commit; read back as stored."""
+    import uuid
+
+    from tariffscope.plans import file_queries, pipeline
+    from tariffscope.session import shared_dir
+    from tariffscope.sources import store
+
+    files, out = file_queries._landing(spark, sf_dir), f"{shared_dir(spark)}/bench-{uuid.uuid4().hex}"
+
+    def run():
+        pipeline.ingest_files(spark, files, out)
+        return store.read_state(spark, out)
+
+    return run
+
+
 def main() -> None:
     from tariffscope.plans.queries import queries
     from tariffscope.session import local_session, materialize

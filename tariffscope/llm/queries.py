@@ -138,5 +138,45 @@ FROM documents d LEFT JOIN told USING (doc_id)
 """
 
 
+# the checksum by its rule: a byte at a time, eight shifts each
+_CRC32 = """xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length({text}) + 1), lambda i: CAST(ascii({text}[i]) AS BIGINT))),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295)"""
+
+_OP11 = f"""
+WITH RECURSIVE convs AS (SELECT conv_id, row_number() OVER () AS c FROM (SELECT DISTINCT conv_id FROM conversations)),
+named AS (SELECT c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations JOIN convs USING (conv_id)),
+kinds AS (SELECT *, {_CRC32.format(text="k")} % 20 AS kind FROM named),
+harmed AS (SELECT c, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+    ELSE text END AS text, unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM kinds WHERE kind <> 0),
+rows_ AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM harmed),
+judged AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^ \t\n\v\f\r]') THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+    WHEN regexp_extract(text, '([^ \t\n\v\f\r])[ \t\n\v\f\r]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    role[1] AS initial, lag(role[1]) OVER (PARTITION BY c ORDER BY i) || role[1] AS pair FROM rows_),
+told AS (SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 'blank') AS blank, count_if(fault = 'duplicate') AS duplicate,
+    count_if(fault = 'truncated') AS truncated, count_if(pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM judged GROUP BY c),
+-- rows put in before one: state, their number, state then, the rows
+put AS (FROM (VALUES (0, 0, 0, []), (0, 1, 2, ['user:']), (0, 2, 3, ['user:', 'assistant:']), (1, 0, 1, []), (1, 1, 2, ['user:']), (1, 2, 3, ['user:', 'assistant:']),
+    (2, 0, 2, []), (2, 1, 3, ['assistant:']), (2, 2, 2, ['assistant:', 'user:']), (3, 0, 3, []), (3, 1, 2, ['user:']), (3, 2, 3, ['user:', 'assistant:'])) v(p, n, m, lines)),
+edits AS (SELECT c, i, m, unnest([{{'letter': 'D', 'cost': 3, 'q': m, 'lines': CAST([] AS VARCHAR[])}},
+    {{'letter': 'K', 'cost': CAST(fault = 'truncated' AS INTEGER), 'q': CASE WHEN fault IN ('', 'truncated') THEN CASE WHEN initial = 's' AND m = 0 THEN 1
+        WHEN initial = 'u' AND m <> 2 THEN 2 WHEN initial = 'a' AND m = 2 THEN 3 END END, 'lines': [role || ':' || text]}},
+    {{'letter': 'R', 'cost': 2 + CAST(fault = 'truncated' AS INTEGER), 'q': CASE WHEN fault IN ('', 'truncated') THEN CASE WHEN m = 2 THEN 3 ELSE 2 END END,
+        'lines': [CASE WHEN m = 2 THEN 'assistant:' ELSE 'user:' END || text]}}]) AS e FROM judged, range(4) r(m)),
+best AS (SELECT c, CAST(0 AS BIGINT) AS i, CAST(0 AS INTEGER) AS state, CAST(0 AS BIGINT) AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS lines FROM convs
+    UNION ALL
+    SELECT c, i, q, k.cost, k.audit, lines FROM (SELECT c, i, q, min(k) AS k, arg_min(lines, k) AS lines FROM (
+        SELECT b.c, e.i, CAST(e.e.q AS INTEGER) AS q, {{'cost': CAST(b.cost + 2 * put.n + e.e.cost AS BIGINT), 'audit': b.audit || repeat('I', put.n) || e.e.letter}} AS k,
+            b.lines || put.lines || e.e.lines AS lines
+        FROM best b JOIN put ON put.p = b.state JOIN edits e ON e.c = b.c AND e.i = b.i + 1 AND e.m = put.m WHERE e.e.q IS NOT NULL) GROUP BY c, i, q)),
+closed AS (SELECT c, min(k) AS k, arg_min(lines, k) AS lines FROM (SELECT b.c, {{'cost': b.cost + 2 * put.n, 'audit': b.audit || repeat('I', put.n)}} AS k, b.lines || put.lines AS lines
+    FROM best b JOIN put ON put.p = b.state LEFT JOIN told USING (c) WHERE b.i = coalesce(told.n, 0) AND put.m IN (0, 3)) GROUP BY c)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, k.cost AS cost, k.audit AS audit, sha256(array_to_string(lines, chr(10))) AS repaired_sha256
+FROM convs JOIN closed USING (c) LEFT JOIN told USING (c)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_jaccard_join": _OP2, "op3_substring_dedup": _OP3}
+    return {"op2_jaccard_join": _OP2, "op3_substring_dedup": _OP3, "op11_chat_repair": _OP11}

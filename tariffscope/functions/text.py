@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,9 +33,9 @@ def pipe_list(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, r"\|"), lambda x: F.trim(x)), lambda x: x != "")
 
 
-def has_word(text: Column, *words: str) -> Column:
-    """Whole-word test with ASCII word boundaries, so accented letters count as separators."""
-    return text.rlike(rf"(?<![0-9A-Za-z_])({'|'.join(words)})(?![0-9A-Za-z_])")
+def ascii_words(pattern: str) -> str:
+    """The pattern with \\b taken as the border of a word of ASCII signs, so accented letters count as separators."""
+    return re.sub(r"\\b(\w+)\\b", r"(?<![0-9A-Za-z_])\1(?![0-9A-Za-z_])", pattern)
 
 
 def _code_page_table() -> tuple[str, str]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tariffscope.functions.text import has_word
+from tariffscope.functions.text import ascii_words
 from tariffscope.operators.lookup import broadcast_if_small
 
 #: Signs by which patterns are looked up.
@@ -100,20 +100,24 @@ def best_match(cleansed: DataFrame, patterns: DataFrame) -> DataFrame:
     )
 
 
+# The word lists and labels of the cascade, first hit wins; \b borders a word of ASCII signs.
+LINE_RULES = (
+    ("plan", r"\bva\b|veteran|tricare", "Other government"),
+    ("payer", r"medicaid|masshealth|\baco\b|\bmco\b|\bmcd\b", "Medicaid"),
+    ("payer", r"medicare|\bsco\b|senior|wellcare|eternal", "Medicare Advantage"),
+    ("plan", r"commercial|connector|qhp", "Commercial"),
+    ("plan", r"medicaid|masshealth", "Medicaid"),
+    ("plan", r"medicare", "Medicare Advantage"),
+)
+
+
 def product_line(override: Column, payer: Column, plan: Column) -> Column:
     """Insurance type; the first arm that fits decides."""
-    payer, plan = F.lower(payer), F.lower(F.coalesce(plan, F.lit("")))
-    # The word lists and labels of the cascade.
-    return (
-        F.when(override.isNotNull(), override)
-        .when(has_word(plan, "va") | plan.rlike("veteran|tricare"), "Other government")
-        .when(payer.rlike("medicaid|masshealth") | has_word(payer, "aco", "mco", "mcd"), "Medicaid")
-        .when(payer.rlike("medicare|senior|wellcare|eternal") | has_word(payer, "sco"), "Medicare Advantage")
-        .when(plan.rlike("commercial|connector|qhp"), "Commercial")
-        .when(plan.rlike("medicaid|masshealth"), "Medicaid")
-        .when(plan.rlike("medicare"), "Medicare Advantage")
-        .otherwise("Commercial")
-    )
+    texts = {"payer": F.lower(payer), "plan": F.lower(F.coalesce(plan, F.lit("")))}
+    line = F.when(override.isNotNull(), override)
+    for side, words, label in LINE_RULES:
+        line = line.when(texts[side].rlike(ascii_words(words)), label)
+    return line.otherwise("Commercial")
 
 
 def payer_key(payer: Column, plan: Column) -> Column:

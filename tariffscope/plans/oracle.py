@@ -5,6 +5,7 @@ Built from named fragments: ``sql(body, *names)`` puts the fragments a query nee
 
 from __future__ import annotations
 
+from tariffscope.operators import payers
 from tariffscope.plans import sample_charges as S
 from tariffscope.sources import seeds
 
@@ -26,6 +27,8 @@ def _case(column: str, mapping: dict, default: str = "NULL") -> str:
 
 _CODES = ", ".join(f"{{'code': {_text(c)}, 'type': {_text(t)}}}" for c, t in S.item_codes())
 
+_LINE_RULES = [dict(zip("abcd", (i, *rule), strict=True)) for i, rule in enumerate(payers.LINE_RULES)]
+
 # (needs, body) per fragment, in the order they are put together.
 FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = {
     "patterns": (
@@ -142,11 +145,7 @@ FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = {
     ),
     "line_rules": (
         (),
-        r"""SELECT * FROM (VALUES (1, 'plan', '\bva\b|veteran|tricare', 'Other government'),
-        (2, 'payer', 'medicaid|masshealth|\b(aco|mco|mcd)\b', 'Medicaid'),
-        (3, 'payer', 'medicare|senior|wellcare|eternal|\bsco\b', 'Medicare Advantage'),
-        (4, 'plan', 'commercial|connector|qhp', 'Commercial'), (5, 'plan', 'medicaid|masshealth', 'Medicaid'),
-        (6, 'plan', 'medicare', 'Medicare Advantage')) v(rank, side, words, line)""",
+        f"SELECT * FROM (VALUES {_values(_LINE_RULES)}) v(rank, side, words, line)",
     ),
     "lines": (
         ("cleansed", "line_rules"),

@@ -11,6 +11,8 @@ reaches the driver is one number per round.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,6 +63,8 @@ def _with_targets(cells: DataFrame, targets: dict[str, DataFrame]) -> dict[str,
 def raked(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
     """The cells with ``weight``: calibrated over actual tokens. Cells of a value without a target weigh 0."""
     goals = _with_targets(cells, targets)
+    aims = [goal.select(F.lit(d).alias("dimension"), F.col(d).alias("value"), "goal") for d, goal in goals.items()]
+    aims = materialize(reduce(DataFrame.unionByName, aims), "goals")
     now = cells.withColumn("weight", F.lit(1.0))
     for _ in range(rounds):
         for d, goal in goals.items():
@@ -68,10 +72,10 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
             scale = sums.join(goal, d).select(d, F.when(F.col("sum") > 0, F.col("goal") / F.col("sum")).otherwise(0.0).alias("scale"))
             now = now.join(scale, d, "left").select(*cells.columns, (F.col("weight") * F.coalesce("scale", F.lit(0.0))).alias("weight"))
         now = materialize(now, "cells")
-        off = 0.0
-        for d, goal in goals.items():
-            sums = now.groupBy(d).agg(F.sum(F.col("weight") * F.col("tokens")).alias("sum"))
-            off = max(off, sums.join(goal, d).agg(F.max(F.abs(F.col("sum") / F.col("goal") - 1))).first()[0] or 0.0)
+        # all marginals in one small job: every cell counts for its value of each dimension
+        entries = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("value"), (F.col("weight") * F.col("tokens")).alias("tokens")) for d in goals])
+        sums = now.select(F.inline(entries)).groupBy("dimension", "value").agg(F.sum("tokens").alias("sum"))
+        off = sums.join(aims, ["dimension", "value"]).agg(F.max(F.abs(F.col("sum") / F.col("goal") - 1))).first()[0] or 0.0
         if off < CLOSE:
             break
     return now

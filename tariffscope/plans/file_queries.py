@@ -401,7 +401,7 @@ def _(spark, sf):
         F.floor(F.col("doc_id") / 16).alias("block"),
         "doc_id",
         F.posexplode(F.split(record, "\n")).alias("pos", "value"),
-    ).withColumn("place", F.col("doc_id") * 1_000_000 + F.col("pos"))
+    ).withColumn("place", F.struct("doc_id", "pos"))
     # Every other block border falls inside a document, so records are cut there.
     moved = lines.withColumn("block", F.when(F.col("doc_id") % 16 == 15, F.col("block") + (F.col("pos") > 0).cast("int"))
                              .otherwise(F.col("block")))

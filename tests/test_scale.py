@@ -6,6 +6,7 @@ from tariffscope import session
 from tariffscope.operators import prices
 from tariffscope.plans import sample_charges
 from tariffscope.session import materialize
+from tariffscope.sources import blocks, json_files
 
 
 def _plan(df):
@@ -55,3 +56,20 @@ def test_list_prices_take_one_shuffle_and_a_short_key(spark):
     assert _plan(found).count("Exchange hashpartitioning") == 1
     told = found.join(points.select(prices.item_key().alias("item_key"), "description", "setting"), "item_key").select("description", "setting", found.gross_charge, found.discounted_cash, "list_price_match", F.octet_length("item_key").alias("k")).collect()
     assert {tuple(r) for r in told} == {("a", "both", 5.0, 4.0, "same item", 16), ("a", "in", 5.0, 4.0, "same item, other setting", 16), ("b", "in", None, None, None, 16)}
+
+
+def test_texts_of_split_documents_are_written_twice(spark, monkeypatch):
+    written = []
+
+    def noted(df, name):
+        written.append((name, "value" in df.columns))
+        return materialize(df, name)
+
+    monkeypatch.setattr(json_files, "materialize", noted)
+    monkeypatch.setattr(blocks, "materialize", noted)
+    text = '{"hospital_name": "a } [ \\" b", "standard_charge_information": [{"description": "x}"}, {"description": "y", "drug_information": {"unit": "1"}}]}'
+    pieces = [("f", i // 2, i, p) for i, p in enumerate(text.split("}")[:-1])] + [("cut", 0, i, p) for i, p in enumerate(text[:-2].split("}"))]
+    items, documents = json_files.split_documents(spark.createDataFrame(pieces, "path string, block long, place long, value string"))
+    assert sorted((r.path, r.item.description) for r in items.collect()) == [("f", "x}"), ("f", "y")]
+    assert [r.path for r in documents.collect()] == ["f"]
+    assert [name for name, has_text in written if has_text] == ["pieces", "json_parts"]

@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 
 from tariffscope import session
 from tariffscope.operators import prices
-from tariffscope.plans import sample_charges
+from tariffscope.plans import sample_charges, sample_files
 from tariffscope.session import materialize
-from tariffscope.sources import blocks, json_files
+from tariffscope.sources import blocks, csv_files, headers, json_files
 
 
 def _plan(df):
@@ -73,3 +73,32 @@ def test_texts_of_split_documents_are_written_twice(spark, monkeypatch):
     assert sorted((r.path, r.item.description) for r in items.collect()) == [("f", "x}"), ("f", "y")]
     assert [r.path for r in documents.collect()] == ["f"]
     assert [name for name, has_text in written if has_text] == ["pieces", "json_parts"]
+
+
+def test_a_plan_says_something_unless_all_its_cells_are_blank(spark):
+    names = [*headers.WIDE_COLUMNS.values()]
+    at = {n: i for i, n in enumerate(names)}
+    group = F.struct(F.lit("P").alias("payer_name"), F.lit("Q").alias("plan_name"), *[F.lit(i).alias(n) for n, i in at.items()])
+    base = F.struct(*[F.lit(None).cast("int").alias(n) for n in headers.BASE_COLUMNS.values()])
+    codes = F.array().cast("array<struct<code int, type int>>")
+    layouts = spark.range(1).select(
+        F.lit("f").alias("path"), F.lit("h").alias("hospital_id"), F.lit("csv_wide").alias("source_format"), F.lit(None).cast("string").alias("error"),
+        F.array(F.lit("head")).alias("head_lines"), F.lit(len(names)).alias("n_cells"), codes.alias("codes"), base.alias("base"), F.array(group).alias("groups"))
+    lines = [",".join([""] * len(names)), ",".join(["  "] * len(names)), ",".join(["x"] + [" "] * (len(names) - 1)), "7"]
+    records = spark.createDataFrame([("f", line) for line in lines], "path string, value string")
+    found = csv_files.wide_to_charges(records, layouts)
+    assert sorted(r.payer_name or "" for r in found.collect()) == ["", "", "", "", "P", "P"]
+
+
+def test_wide_records_spell_the_rates_once(spark):
+    before = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        heads, records = sample_files.wide_file(spark, "/root/testdata/sf0.001")
+        line = records._jdf.queryExecution().analyzed().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", before)
+    width = len(heads.first().header)
+    assert [r.n for r in records.select(F.size(csv_files.cells(F.col("value"))).alias("n")).distinct().collect()] == [width]
+    # once where it is spelt and once where it is handed on, and not for every plan
+    assert max(text.count("p90_amount#") for text in line) < len(sample_files.WIDE_PLANS)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tariffscope import session
 from tariffscope.operators import prices
-from tariffscope.plans import sample_charges, sample_files
+from tariffscope.plans import queries, sample_charges, sample_files
 from tariffscope.session import materialize
 from tariffscope.sources import blocks, csv_files, headers, json_files
 
@@ -102,3 +102,38 @@ def test_wide_records_spell_the_rates_once(spark):
     assert [r.n for r in records.select(F.size(csv_files.cells(F.col("value"))).alias("n")).distinct().collect()] == [width]
     # once where it is spelt and once where it is handed on, and not for every plan
     assert max(text.count("p90_amount#") for text in line) < len(sample_files.WIDE_PLANS)
+
+
+def _conditions(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("RLIKE")
+
+
+def test_only_the_cells_that_are_asked_for_are_read(spark):
+    before = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        heads, records = sample_files.wide_file(spark, "/root/testdata/sf0.001")
+        wide = csv_files.wide_to_charges(records, headers.layouts(heads))
+        documents = spark.createDataFrame([], f"id int, {json_files.ITEMS}")
+        nested = json_files.documents_to_charges(documents, "id")
+        # one number is asked for, not the ten of a charge
+        told = [_conditions(df.where("payer_name is not null").select("payer_name", "negotiated_dollar")) for df in (wide, nested)]
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", before)
+    assert told == [1, 1]
+
+
+def test_json_items_keep_one_row_without_a_payer(spark):
+    text = """{"standard_charge_information": [{"description": "x", "standard_charges": [{"gross_charge": "$1,200", "additional_generic_notes": "n",
+        "payers_information": [{"payer_name": " P ", "standard_charge_dollar": 5, "additional_payer_notes": ""}, {"payer_name": "Q", "additional_payer_notes": "own"}]}, {"setting": "both"}]}]}"""
+    documents = spark.createDataFrame([(1, text)], "id int, value string").select("id", F.from_json("value", f"struct<{json_files.ITEMS}>").alias("d")).select("id", "d.*")
+    rows = json_files.documents_to_charges(documents, "id").select("payer_name", "gross_charge", "negotiated_dollar", "notes", "setting").collect()
+    assert [tuple(r) for r in rows] == [(None, 1200.0, None, "n", None), ("P", 1200.0, 5.0, "n", None), ("Q", 1200.0, None, "own", None), (None, None, None, None, "both")]
+
+
+def test_three_layouts_come_from_one_table_of_charges(spark, monkeypatch):
+    taken = []
+    made = sample_charges.charges
+    monkeypatch.setattr(sample_charges, "charges", lambda *args: taken.append(args) or made(*args))
+    queries.queries()["layout_parity"](spark, "/root/testdata/sf0.001")
+    assert len(taken) == 1

@@ -95,6 +95,17 @@ def row_offenders(df: DataFrame, rules: list[RowRule]) -> DataFrame:
     return df.select(F.explode(hits).alias("hit"), row).select("hit.rule", "hit.severity", F.lit(1).cast("bigint").alias("rows"), "offender")
 
 
+def _short(key: str) -> str:
+    """A text as bytes behind a sign for their kind: lower-case hex digits, as of digests, go two in a byte."""
+    return f"CASE WHEN {key} = lower(hex(unhex({key}))) THEN concat(X'01', unhex({key})) ELSE concat(X'00', CAST({key} AS BINARY)) END"
+
+
+def _long(key: str) -> str:
+    """The text that ``_short`` was made of."""
+    rest = f"substring({key}, 2)"
+    return f"CASE WHEN substring({key}, 1, 1) = X'01' THEN lower(hex({rest})) ELSE CAST({rest} AS STRING) END"
+
+
 def key_table(fact: DataFrame, hospitals: DataFrame, payers: DataFrame) -> DataFrame:
     """Keys with their number of rows in the fact and of parents (domain, key, code, rows, parents): one aggregate.
 
@@ -102,7 +113,7 @@ def key_table(fact: DataFrame, hospitals: DataFrame, payers: DataFrame) -> DataF
     """
 
     def entry(domain: str, key: str, code: str = "NULL", when: str = "TRUE") -> str:
-        fields = f"'{domain}' AS domain, CAST({key} AS STRING) AS key, CAST({code} AS STRING) AS code"
+        fields = f"'{domain}' AS domain, {_short(f'CAST({key} AS STRING)')} AS key, CAST({code} AS STRING) AS code"
         return f"CASE WHEN {key} IS NOT NULL AND {when} THEN struct({fields}) END"
 
     entries = [entry("rate_key", "rate_key"), entry("hospital_id", "hospital_id"), entry("payer_key", "payer_key")]
@@ -110,14 +121,14 @@ def key_table(fact: DataFrame, hospitals: DataFrame, payers: DataFrame) -> DataF
     children = fact.select(F.inline(F.expr(f"array_compact(array({', '.join(entries)}))")), F.lit(1).alias("_row"), F.lit(0).alias("_parent"))
     parents = [
         df.where(f"{key} is not null").select(
-            F.lit(key).alias("domain"), F.col(key).cast("string").alias("key"), F.lit(None).cast("string").alias("code"), F.lit(0).alias("_row"), F.lit(1).alias("_parent")
+            F.lit(key).alias("domain"), F.expr(_short(f"CAST({key} AS STRING)")).alias("key"), F.lit(None).cast("string").alias("code"), F.lit(0).alias("_row"), F.lit(1).alias("_parent")
         )
         for df, key in ((hospitals, "hospital_id"), (payers, "payer_key"))
     ]
     counted = reduce(DataFrame.unionByName, parents, children).groupBy("domain", "key", "code").agg(
         F.sum("_row").alias("rows"), F.sum("_parent").alias("parents")
     )
-    return counted.where("domain <> 'rate_key' or rows > 1")
+    return counted.where("domain <> 'rate_key' or rows > 1").withColumn("key", F.expr(_long("key")))
 
 
 def key_offenders(keys: DataFrame, hospitals: DataFrame, payers: DataFrame, services: DataFrame) -> list[DataFrame]:

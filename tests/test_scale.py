@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tariffscope import session
-from tariffscope.operators import prices
+from tariffscope.operators import audit, prices
 from tariffscope.plans import queries, sample_charges, sample_files
 from tariffscope.session import materialize
 from tariffscope.sources import blocks, csv_files, headers, json_files
@@ -137,3 +137,31 @@ def test_three_layouts_come_from_one_table_of_charges(spark, monkeypatch):
     monkeypatch.setattr(sample_charges, "charges", lambda *args: taken.append(args) or made(*args))
     queries.queries()["layout_parity"](spark, "/root/testdata/sf0.001")
     assert len(taken) == 1
+
+
+def test_small_values_travel_in_one_number(spark):
+    rows = [(n, a, b) for n in (None, 0, 7, -3, 2**31 - 1, -(2**31)) for a in (None, 0, 8) for b in (None, 0, 1)]
+    df = spark.createDataFrame(rows, "n int, a int, b int")
+    packed = df.select("*", sample_charges._packed(F.col("n"), [(F.col("a").cast("bigint"), 9), (F.col("b").cast("bigint"), 2)]).alias("p"))
+    found = packed.select("n", "a", "b", F.array(*sample_charges._unpacked(F.col("p"), [9, 2])).alias("told")).collect()
+    assert all([r.n, r.a, r.b] == r.told for r in found) and len(found) == len(rows)
+
+
+def test_lines_carry_one_number_besides_their_keys_and_amounts(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = sample_charges.charges(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(l_partkey" in line)
+    sent = next(line for line in lines[at:] if "Project [" in line)
+    assert sent.split("Project [")[1].count(",") + 1 <= 6
+
+
+def test_digests_are_counted_in_half_their_bytes(spark):
+    keys = ["", "ab", "AB", "abc", "h1", "00", "0f" * 16, "é", "\x01"]
+    df = spark.createDataFrame([(k,) for k in keys], "k string").select("k", F.expr(audit._short("k")).alias("short"))
+    found = df.select("k", F.expr(audit._long("short")).alias("told"), F.octet_length("short").alias("n")).collect()
+    assert [r.told for r in found] == keys and {r.k: r.n for r in found}["0f" * 16] == 17

@@ -28,6 +28,7 @@ sets do in elements. The other pairs are verified on the whole sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from math import comb, exp
 
 import numpy as np
@@ -44,9 +45,13 @@ U = np.uint64
 SHINGLE = 5
 #: A signature is dear when it would give more pairs than the square of this.
 DEAR = 16
-#: Words of 64 bits in a node's bitmap. More would tell larger sets apart, at eight bytes a node and signature.
-BITMAP = 4
+#: Words of 64 bits in a node's bitmap. More would tell larger sets apart, at eight bytes a node.
+BITMAP = 16
 BITS = [f"b{i}" for i in range(BITMAP)]
+#: Words of the bitmap folded for the signature join, where it takes eight bytes a node and signature each.
+FOLDED = 4
+#: Bytes of text whose words and shingles a task holds at once, or one longer text.
+SET_BYTES = 1 << 20
 
 LOWER = bytes(range(256)).translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"))
 
@@ -163,6 +168,18 @@ SET_ROWS = ", ".join(["doc_id bigint, block bigint, at int, n bigint, set_key bi
 SIGNED = "sig bigint, node bigint, n int, tag int, segment int, deleted boolean"
 
 
+def _slices(texts: list[bytes]) -> Iterator[slice]:
+    """Runs of texts of up to SET_BYTES."""
+    first, size = 0, 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > SET_BYTES:
+            yield slice(first, i)
+            first, size = i, 0
+        size += len(text)
+    if first < len(texts):
+        yield slice(first, len(texts))
+
+
 def _with_column(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[B.Block, list]]:
     for batch in batches:
         values = batch.column(batch.schema.names.index(column))
@@ -187,12 +204,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in B.opened(batches):
-            sets = Sets(block.texts, shingle)
-            n = len(block.texts)
-            yield pa.RecordBatch.from_arrays(
-                [block.id_column(), pa.array([block.number] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(sets.sizes, pa.int64()), pa.array(sets.keys(), pa.binary()), *map(pa.array, sets.bitmaps())],
-                ["doc_id", "block", "at", "n", "set_key", *BITS],
-            )
+            ids = block.id_column()
+            for part in _slices(block.texts):
+                sets = Sets(block.texts[part], shingle)
+                at = range(part.start, part.stop)
+                yield pa.RecordBatch.from_arrays(
+                    [ids[part], pa.array([block.number] * len(at), pa.int64()), pa.array(at, pa.int32()), pa.array(sets.sizes, pa.int64()), pa.array(sets.keys(), pa.binary()), *map(pa.array, sets.bitmaps())],
+                    ["doc_id", "block", "at", "n", "set_key", *BITS],
+                )
 
     rows = materialize(packed.mapInArrow(set_rows, SET_ROWS), "sets")
     nodes = materialize(
@@ -237,8 +256,14 @@ def _links(packed: DataFrame, nodes: DataFrame, size: int, shingle: int) -> Data
     needs = np.array([s.need for s in schemes], np.int64)
 
     def signed(block: B.Block, who: list) -> tuple:
-        sets = Sets([block.texts[w["at"]] for w in who], shingle)
-        return sets, signatures(sets, np.arange(len(who)), schemes)
+        """Set sizes of the nodes of a block, and their signatures; the sets of a few texts are held at a time."""
+        texts, sizes, found = [block.texts[w["at"]] for w in who], [], []
+        for part in _slices(texts):
+            sets = Sets(texts[part], shingle)
+            sig, doc, *told = signatures(sets, np.arange(len(sets.sizes)), schemes)
+            sizes.append(sets.sizes)
+            found.append((sig, doc + part.start, *told))
+        return np.concatenate(sizes), tuple(map(np.concatenate, zip(*found, strict=True)))
 
     key_field = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("f0", pa.binary())])
 
@@ -257,28 +282,31 @@ def _links(packed: DataFrame, nodes: DataFrame, size: int, shingle: int) -> Data
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, who in _with_column(batches, "speakers"):
-            sets, (sig, doc, tag, segment, deleted) = signed(block, who)
+            sizes, (sig, doc, tag, segment, deleted) = signed(block, who)
             keep = np.flatnonzero(B.Keys.of(sig, bits).shared(block.answers))
             keep = keep[_enough(doc[keep], tag[keep], segment[keep], needs)]
             names = np.array([w["node"] for w in who], np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(sig[keep].view(np.int64)), pa.array(names[doc[keep]]), pa.array(sets.sizes[doc[keep]], pa.int32()), pa.array(tag[keep], pa.int32()), pa.array(segment[keep], pa.int32()), pa.array(deleted[keep])],
+                [pa.array(sig[keep].view(np.int64)), pa.array(names[doc[keep]]), pa.array(sizes[doc[keep]], pa.int32()), pa.array(tag[keep], pa.int32()), pa.array(segment[keep], pa.int32()), pa.array(deleted[keep])],
                 ["sig", "node", "n", "tag", "segment", "deleted"],
             )
 
     signed_rows = materialize(B.with_answers(packed, replies).join(speakers, "block").mapInArrow(shared, SIGNED), "signed")
     need = F.create_map(*[F.lit(v) for s in schemes for v in (s.number, s.need)])[F.floor(F.col("tag") / 8).cast("int")]
     sig_of = signed_rows.select("sig", "node", "n", "tag", "segment")
-    fits = (F.least("xn", "yn") * 5 >= F.greatest("xn", "yn") * 4) & (F.col("x") != F.col("y"))
+    fits = (F.least("xn", "yn") * 5 >= F.greatest("xn", "yn") * 4) & (F.col("xr") != F.col("yr"))
 
     def stars(rows: DataFrame, order) -> DataFrame:
-        centre = rows.groupBy("sig").agg(F.min_by(F.struct("node", "n"), order).alias("c"))
-        pairs = rows.join(centre, "sig").select(F.col("c.node").alias("x"), F.col("c.n").alias("xn"), F.col("node").alias("y"), F.col("n").alias("yn"), "tag", "segment")
+        """Pairs of a centre of a signature and another of its nodes that is not in the centre's component."""
+        centre = rows.groupBy("sig").agg(F.min_by(F.struct("node", "n", "root"), order).alias("c"))
+        pairs = rows.join(centre, "sig").select(
+            F.col("c.node").alias("x"), F.col("c.n").alias("xn"), F.col("c.root").alias("xr"), F.col("node").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"), "tag", "segment"
+        )
         # a first guess at links: those with a third of the agreement that a link has
         some = pairs.where(fits).groupBy("x", "y", "tag").agg(F.count_distinct("segment").alias("c")).where(F.col("c") * 3 >= need)
         return _alike(_ordered(some), nodes)
 
-    first = stars(sig_of, F.xxhash64("node"))
+    first = stars(sig_of.withColumn("root", F.col("node")), F.xxhash64("node"))
     done = materialize(_verified(packed, nodes, first, shingle), "links")
     roots = materialize(components(done.where("linked").select(F.col("x").alias("a"), F.col("y").alias("b"))), "roots")
     named = sig_of.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -313,12 +341,17 @@ def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs whose bitmaps do not rule a link out; only their sets are fetched and compared."""
     x = nodes.select(F.col("node").alias("x"), F.col("n").alias("xn"), *(F.col(b).alias(f"x{b}") for b in BITS))
     y = nodes.select(F.col("node").alias("y"), F.col("n").alias("yn"), *(F.col(b).alias(f"y{b}") for b in BITS))
-    return pairs.join(x, "x").join(y, "y").where(_apart() * 9 <= F.col("xn") + F.col("yn")).select("x", "y")
+    return pairs.join(x, "x").join(y, "y").where(_apart(BITS) * 9 <= F.col("xn") + F.col("yn")).select("x", "y")
 
 
-def _apart():
+def _apart(words: list[str]):
     """Bits in which the bitmaps of x and y differ: never more than the sets do."""
-    return sum((F.bit_count(F.col(f"x{b}").bitwiseXOR(F.col(f"y{b}"))) for b in BITS), F.lit(0))
+    return sum((F.bit_count(F.col(f"x{b}").bitwiseXOR(F.col(f"y{b}"))) for b in words), F.lit(0))
+
+
+def _folded() -> list:
+    """The bitmap in a quarter of its words: every element still flips one bit."""
+    return [reduce(lambda a, b: a.bitwiseXOR(b), map(F.col, BITS[i::FOLDED])).alias(BITS[i]) for i in range(FOLDED)]
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -344,14 +377,16 @@ def _between(signed: DataFrame, spread: DataFrame, nodes: DataFrame, roots: Data
     # agreement in dear segments is not seen, so that much less of it is asked for
     unseen = segments.groupBy("node", "tag").agg(F.count("*").alias("unseen"))
     rows = rows.join(unseen, ["node", "tag"], "left").withColumn("least", F.greatest(F.lit(1), need - F.coalesce("unseen", F.lit(0))))
-    known = nodes.select("node", *BITS).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rows = materialize(rows.join(known, "node").select("sig", "node", "n", "tag", "segment", "root", "dear", "needs", "deleted", "least", *BITS), "open")
-    x = rows.select("sig", "tag", "segment", "least", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"), F.col("deleted").alias("xd"), "dear", "needs", *(F.col(b).alias(f"x{b}") for b in BITS)).where("needs or not dear")
-    y = rows.select("sig", F.col("node").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"), F.col("deleted").alias("yd"), *(F.col(b).alias(f"y{b}") for b in BITS))
-    fits = (F.least("xn", "yn") * 5 >= F.greatest("xn", "yn") * 4) & (_apart() * 9 <= F.col("xn") + F.col("yn"))
+    words = BITS[:FOLDED]
+    known = nodes.select("node", *_folded()).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rows = materialize(rows.join(known, "node").select("sig", "node", "n", "tag", "segment", "root", "dear", "needs", "deleted", "least", *words), "open")
+    x = rows.select("sig", "tag", "segment", "least", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"), F.col("deleted").alias("xd"), "dear", "needs", *(F.col(b).alias(f"x{b}") for b in words)).where("needs or not dear")
+    y = rows.select("sig", F.col("node").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"), F.col("deleted").alias("yd"), *(F.col(b).alias(f"y{b}") for b in words))
+    fits = (F.least("xn", "yn") * 5 >= F.greatest("xn", "yn") * 4) & (_apart(words) * 9 <= F.col("xn") + F.col("yn"))
     pairs = x.join(y, "sig").where((F.col("xr") != F.col("yr")) & ~(F.col("xd") & F.col("yd")) & fits)
     agreed = pairs.groupBy("x", "y", "tag").agg(F.count_distinct("segment").alias("c"), F.max("dear").alias("dear"), F.max("least").alias("least"))
-    return _ordered(agreed.where(F.col("dear") | (F.col("c") >= F.col("least"))))
+    # what the folded bitmaps could not tell apart, the whole ones do
+    return _alike(_ordered(agreed.where(F.col("dear") | (F.col("c") >= F.col("least")))), nodes)
 
 
 def _verified(packed: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
@@ -362,9 +397,11 @@ def _verified(packed: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: in
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, who in _with_column(batches, "wanted"):
-            sets = Sets([block.texts[w["at"]] for w in who], shingle)
-            items = np.split(sets.names.view(np.int64), sets.bounds[1:-1])
-            yield pa.RecordBatch.from_arrays([pa.array([w["node"] for w in who], pa.int64()), pa.array(items, pa.list_(pa.int64()))], ["node", "items"])
+            texts = [block.texts[w["at"]] for w in who]
+            for part in _slices(texts):
+                sets = Sets(texts[part], shingle)
+                items = np.split(sets.names.view(np.int64), sets.bounds[1:-1])
+                yield pa.RecordBatch.from_arrays([pa.array([w["node"] for w in who[part]], pa.int64()), pa.array(items, pa.list_(pa.int64()))], ["node", "items"])
 
     items = materialize(packed.join(lists, "block").mapInArrow(fetch, NODE_SETS), "items")
     both = pairs.join(items.select(F.col("node").alias("x"), F.col("items").alias("xi")), "x").join(items.select(F.col("node").alias("y"), F.col("items").alias("yi")), "y")

@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tariffscope.llm import decontaminate, html_text, jaccard_join, license_scan, mixing, quality_rules, secret_scan, sharding, substring_dedup, suffix_dedup
@@ -106,6 +107,55 @@ def test_links_are_named_as_a_spanning_count(spark):
     assert jaccard_join.near_duplicates(docs).columns == ["doc_id", "n_shingles", "component_id", "n_spanning_links", "n_copies"]
 
 
+def test_unlike_texts_of_one_family_are_not_fetched_to_be_compared(spark, monkeypatch):
+    """Copies that differ in a quarter of their shingles: no pair is linked, and bitmaps tell all of them apart."""
+    rng = np.random.default_rng(3)
+    base = [f"w{i}" for i in rng.integers(0, 10**9, 600)]
+    texts = []
+    for i in range(12):
+        words = list(base)
+        for at in rng.choice(600, 26, replace=False):
+            words[at] = f"x{i}y{at}"
+        texts.append(" ".join(words))
+    texts += [" ".join(base + [f"end{i}"]) for i in range(3)]
+    compared = []
+    verified = jaccard_join._verified
+    monkeypatch.setattr(jaccard_join, "_verified", lambda packed, nodes, pairs, shingle: compared.append(pairs.count()) or verified(packed, nodes, pairs, shingle))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(docs).collect()}
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    linked = {(a, b) for a in range(15) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    near = {(a, b) for a in range(15) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 74 * len(sets[a] | sets[b])}
+    root = list(range(15))
+    for a, b in sorted(linked):
+        root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+    assert got == dict(enumerate(root))
+    assert sum(compared) <= len(near)
+
+
+def test_second_stars_leave_tied_nodes_alone(spark, monkeypatch):
+    """Near copies that the first stars tie together are not paired with other centres again."""
+    base = [f"w{i}" for i in range(400)]
+    texts = [" ".join([*base[:i * 9], f"x{i}", *base[i * 9 + 1 :]]) for i in range(30)]
+    compared = []
+    verified = jaccard_join._verified
+    monkeypatch.setattr(jaccard_join, "_verified", lambda packed, nodes, pairs, shingle: compared.append(pairs.count()) or verified(packed, nodes, pairs, shingle))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.component_id for r in jaccard_join.near_duplicates(docs).collect()} == {0}
+    assert compared[1:] == [0, 0]
+
+
+def test_sets_of_slices_are_the_sets_of_the_block(monkeypatch):
+    texts = [b"a b c d e f", b"", b"x y", b"a b c d e f g " * 9, b""]
+    whole = jaccard_join.Sets(texts, 5)
+    for limit in (1, 8, 20, 10**6):
+        monkeypatch.setattr(jaccard_join, "SET_BYTES", limit)
+        slices = list(jaccard_join._slices(texts))
+        assert [i for s in slices for i in range(s.start, s.stop)] == list(range(len(texts)))
+        assert [k for s in slices for k in jaccard_join.Sets(texts[s], 5).keys()] == whole.keys()
+    assert list(jaccard_join._slices([])) == []
+
+
 def test_bitmaps_never_differ_more_than_the_sets():
     texts = [t.encode() for t in _texts() if t is not None]
     texts += [" ".join(_prose(n, 9).split()[k:]).encode() for n in (8, 30, 120) for k in (0, 1, 5)]

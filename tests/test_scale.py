@@ -165,3 +165,19 @@ def test_digests_are_counted_in_half_their_bytes(spark):
     df = spark.createDataFrame([(k,) for k in keys], "k string").select("k", F.expr(audit._short("k")).alias("short"))
     found = df.select("k", F.expr(audit._long("short")).alias("told"), F.octet_length("short").alias("n")).collect()
     assert [r.told for r in found] == keys and {r.k: r.n for r in found}["0f" * 16] == 17
+
+
+def test_tables_of_a_task_do_not_grow_with_the_input(spark):
+    """With two shuffle partitions asked for, the first partitions are many and joined by their bytes."""
+    session.configure(spark)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.parallelismFirst")}
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    try:
+        rows = spark.range(300_000).select(F.concat(F.lit("h"), (F.col("id") % 5).cast("string")).alias("hospital_id"), F.md5(F.col("id").cast("string")).alias("description"))
+        tasks = rows.repartition("description").groupBy("description").agg(F.count("*")).select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert tasks > 5

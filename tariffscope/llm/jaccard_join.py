@@ -380,13 +380,20 @@ def _between(signed: DataFrame, spread: DataFrame, nodes: DataFrame, roots: Data
     words = BITS[:FOLDED]
     known = nodes.select("node", *_folded()).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rows = materialize(rows.join(known, "node").select("sig", "node", "n", "tag", "segment", "root", "dear", "needs", "deleted", "least", *words), "open")
-    x = rows.select("sig", "tag", "segment", "least", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"), F.col("deleted").alias("xd"), "dear", "needs", *(F.col(b).alias(f"x{b}") for b in words)).where("needs or not dear")
-    y = rows.select("sig", F.col("node").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"), F.col("deleted").alias("yd"), *(F.col(b).alias(f"y{b}") for b in words))
     fits = (F.least("xn", "yn") * 5 >= F.greatest("xn", "yn") * 4) & (_apart(words) * 9 <= F.col("xn") + F.col("yn"))
-    pairs = x.join(y, "sig").where((F.col("xr") != F.col("yr")) & ~(F.col("xd") & F.col("yd")) & fits)
-    agreed = pairs.groupBy("x", "y", "tag").agg(F.count_distinct("segment").alias("c"), F.max("dear").alias("dear"), F.max("least").alias("least"))
+
+    def met(left: DataFrame, right: DataFrame) -> DataFrame:
+        side = lambda df, c, *more: df.select("sig", *more, *(F.col(k).alias(c + k) for k in ("n", "root", "deleted", "least", *words)), F.col("node").alias(c))
+        pairs = side(left, "x", "tag", "segment").join(side(right, "y"), "sig")
+        return pairs.where((F.col("xroot") != F.col("yroot")) & ~(F.col("xdeleted") & F.col("ydeleted")) & fits)
+
+    # one dear signature is enough, so that its pairs need no count; the others are counted once, not from either side
+    dear, cheap = rows.where("dear"), rows.where("not dear")
+    certain = _ordered(met(dear.where("needs"), dear))
+    agreed = met(cheap, cheap).where("x < y").groupBy("x", "y", "tag").agg(F.count_distinct("segment").alias("c"), F.max(F.least("xleast", "yleast")).alias("least"))
+    pairs = certain.union(agreed.where(F.col("c") >= F.col("least")).select("x", "y"))
     # what the folded bitmaps could not tell apart, the whole ones do
-    return _alike(_ordered(agreed.where(F.col("dear") | (F.col("c") >= F.col("least")))), nodes)
+    return _alike(pairs.distinct(), nodes)
 
 
 def _verified(packed: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:

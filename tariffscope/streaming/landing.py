@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tariffscope.plans.pipeline import ingest_files
+from tariffscope.sources import blocks
 
 FILES_PER_TRIGGER = 500
 
@@ -22,7 +23,7 @@ def ingest_available(spark: SparkSession, landing: str, out: str, checkpoint: st
     """
     marker = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(landing).schema
-    path = F.col("_metadata.file_path")
+    path = blocks.whole_file(F.col("_metadata.file_path"))
     files = (
         spark.readStream.format("binaryFile")
         .schema(listing)
@@ -33,7 +34,9 @@ def ingest_available(spark: SparkSession, landing: str, out: str, checkpoint: st
     )
 
     def ingest(batch: DataFrame, number: int) -> None:
-        ingest_files(batch.sparkSession, batch, out, run=f"{marker}-{number}")
+        # parts of a file are one file, read as it is now
+        found = batch.groupBy("path", "hospital_id").agg(F.max("last_modified").alias("last_modified"))
+        ingest_files(batch.sparkSession, found, out, run=f"{marker}-{number}")
 
     return (
         files.writeStream.foreachBatch(ingest)
